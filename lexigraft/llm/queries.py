@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigraft.llm import chunking, confusables, leakage, tokens
+from lexigraft.llm import chunking, confusables, encodings, leakage, tokens
 from lexigraft.session import table
 
 
@@ -38,6 +38,14 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encodings.garbled_hits(table(spark, sf_dir, "documents")).select("doc_id").distinct()
+
+
+def p9_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encodings.repaired(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_pieces": p2_pieces,
@@ -45,5 +53,7 @@ QUERIES = {
     "p4_forms": p4_forms,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
+    "p9_found": p9_found,
+    "p9_repaired": p9_repaired,
 }
 SQL = {"p2_found": "SELECT DISTINCT source_id FROM sources WHERE length(text) > 1000"}

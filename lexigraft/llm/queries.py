@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigraft.llm import chunking, confusables, encodings, leakage, tokens
+from lexigraft.llm import chunking, confusables, encodings, leakage, mapping, tokens
 from lexigraft.session import table
 
 
@@ -29,6 +29,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.lookalike_pairs(table(spark, sf_dir, "entities"), "id", "name", "source_id")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "entities")
+    names = mapping.map_entries(e, "id", "name", table(spark, sf_dir, "canonical_entities"), "canon_id", "canon_name", "aka", "name")
+    types = mapping.map_entries(e, "id", "entity_type", table(spark, sf_dir, "canonical_types"), "type_id", "type_name", "aka", "entity_type", least=0.4)
+    return names.unionByName(types)
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.encode_column(docs, "text", os.path.join(tokens.TOKENIZERS, "byte_bpe_50k.tiktoken")).select("doc_id", "ids")
@@ -51,6 +58,7 @@ QUERIES = {
     "p2_pieces": p2_pieces,
     "p4_found": p4_found,
     "p4_forms": p4_forms,
+    "p5_found": p5_found,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
     "p9_found": p9_found,

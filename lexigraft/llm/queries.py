@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigraft.llm import chunking, confusables, encodings, leakage, mapping, tokens
+from lexigraft.llm import chunking, confusables, encodings, leakage, mapping, scans, tokens
 from lexigraft.session import table
 
 
@@ -36,6 +36,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.unionByName(types)
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.Scans(table(spark, sf_dir, "sources"), table(spark, sf_dir, "chunk_tasks")).found()
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.encode_column(docs, "text", os.path.join(tokens.TOKENIZERS, "byte_bpe_50k.tiktoken")).select("doc_id", "ids")
@@ -59,6 +63,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_forms": p4_forms,
     "p5_found": p5_found,
+    "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
     "p9_found": p9_found,

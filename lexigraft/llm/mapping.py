@@ -115,6 +115,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     each = both.withColumn("g", _grams(F.col("text"))).select("text", "side", F.size("g").alias("n"), F.explode("g").alias("tok"))
     rarity = each.groupBy("tok").agg(F.count("*").alias("df"))
     ordered = each.join(rarity, "tok").groupBy("text", "side", "n").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("o"))
+    ordered = checkpointed(ordered)
     pre = ordered.select("text", "side", "n", F.posexplode(F.slice("o", F.lit(1), _prefix_size(F.col("n"), least).cast("int"))).alias("pos", "o"))
     a = pre.where("side = 0").select(F.col("o.tok").alias("tok"), F.col("text").alias("value"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     b = pre.where("side = 1").select(F.col("o.tok").alias("tok"), F.col("text").alias("form"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
@@ -226,13 +227,13 @@ def map_values(values: DataFrame, forms: DataFrame, least: float = 0.5) -> DataF
     head = lambda c: F.regexp_replace(c, " [^ ]+$", "")
     general = rest.where(F.col("value").rlike(" (" + "|".join(GENERAL) + ")$")).withColumn("w", head(F.col("value")))
     named = general.join(exact.select("form", head(F.col("form")).alias("w")), "w").select("value", "form", F.lit(0.0).alias("jaccard"))
-    cand = near.unionByName(turned).unionByName(named).groupBy("value", "form").agg(F.max("jaccard").alias("jaccard"))
+    cand = checkpointed(near.unionByName(turned).unionByName(named).groupBy("value", "form").agg(F.max("jaccard").alias("jaccard")))
     judged = cand.withColumn("d", _distances("value", "form")).where(F.col("d") <= _allowed(F.col("form")) + 0.6)
     ranked = judged.join(exact, "form").join(met, "canon_id", "left")
     best = ranked.groupBy("value").agg(
         F.min_by("canon_id", F.struct(F.col("d"), -F.coalesce("met", F.lit(0)), -F.col("jaccard"), "canon_id")).alias("canon_id")
     )
-    return hits.unionByName(best)
+    return checkpointed(hits.unionByName(best))
 
 
 def map_entries(

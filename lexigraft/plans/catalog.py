@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from lexigraft.plans import domain
+from lexigraft.plans import domain, dumps, graph, pages, text
 
-QUERIES = {**domain.QUERIES}
-SQL = {**domain.SQL}
-FLAGSHIP = domain.p1_found
+_MODULES = [domain, graph, text, pages, dumps]
+QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+SQL = {k: v for m in _MODULES for k, v in m.SQL.items()}
+FLAGSHIP = graph.flagship

@@ -30,14 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, schema=None) -> DataFrame
     return r.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder named in ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (local tests)."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    return shared or os.path.join(tempfile.gettempdir(), "lexigraft-checkpoints")
+
 
-    Only where that setting is absent (local tests) is a temporary folder used.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage through the shared folder, so that the result outlives any executor."""
+    sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        shared = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "lexigraft-checkpoints"))
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +43,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut lineage through a Parquet table in the shared folder: smaller than a checkpoint, read by column."""
+    spark = df.sparkSession
+    at = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)

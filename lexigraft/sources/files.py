@@ -75,6 +75,6 @@ def result_files(chunks: DataFrame) -> DataFrame:
 
 
 def find_pdfs(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """(path, length, readable) of PDF files, once each; empty files are not readable."""
+    """(path, length) of PDF files, once each; empty files are left out, as the reader skips them."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", "*.pdf").load(root)
-    return f.select("path", "length", (F.col("length") > 0).alias("readable")).dropDuplicates(["path"])
+    return f.select("path", "length").where("length > 0").dropDuplicates(["path"])

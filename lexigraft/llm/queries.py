@@ -40,6 +40,10 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.Scans(table(spark, sf_dir, "sources"), table(spark, sf_dir, "chunk_tasks")).found()
 
 
+def p6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.Scans(table(spark, sf_dir, "sources"), table(spark, sf_dir, "chunk_tasks")).repaired()
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.encode_column(docs, "text", os.path.join(tokens.TOKENIZERS, "byte_bpe_50k.tiktoken")).select("doc_id", "ids")
@@ -64,6 +68,7 @@ QUERIES = {
     "p4_forms": p4_forms,
     "p5_found": p5_found,
     "p6_found": p6_found,
+    "p6_paragraphs": p6_paragraphs,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
     "p9_found": p9_found,

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 _CLOSERS = "\"'”’」』）)\\]"
 _SPACE = r"[\t \x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
-_ANY = r"[\x{0}-\x{10ffff}]"
+#: any code point; one beyond the first plane must stand there as itself, or lookback counts its halves
+_ANY = r"[\x{0}-\x{10ffff}" + "\U0001f600]"
 
 
 def boundary_pattern(limit: int, overlap: int) -> str:
@@ -53,7 +54,7 @@ def boundary_pattern(limit: int, overlap: int) -> str:
         return f"()()(?:{core})"
     near = rf"(?<=[\s\p{{Punct}}，。；：、！？]({_ANY}{{{overlap - slack // 4},{overlap + slack}}}))"
     exact = rf"(?<=({_ANY}{{{overlap}}}))"
-    return f"(?:\\A|{near}|{exact})(?:{core})"
+    return f"(?:\\A|{near}|{exact}|)(?:{core})"
 
 
 def _pieces(text: Column, limit: int, overlap: int) -> Column:

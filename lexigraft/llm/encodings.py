@@ -182,6 +182,8 @@ def garbled_table(docs: DataFrame, text: str = "text") -> DataFrame:
     seen = units.select(F.col("unit").alias("form"), F.col("n").alias("seen"))
     # a form that is also a word of another language counts only where its original is far more common
     swaps = forms.where("swap").join(seen, "form").where("seen * 4 <= n").drop("seen")
+    # and what is garbled itself is no original
+    swaps = swaps.join(plain.select(F.col("form").alias("original")).distinct(), "original", "left_anti").select(plain.columns)
     return plain.unionByName(swaps).groupBy("form").agg(F.max_by("original", F.struct("n", "original")).alias("original"))
 
 
@@ -194,6 +196,7 @@ def garbled_hits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def _restore(text: str, forms: list[str], originals: list[str]) -> str:
     known = {f: o for f, o in zip(forms, originals) if LOST not in f}
+    known |= {f + "\xa0": o for f, o in known.items() if f[-1] in "ÃÂ"}  # the last byte of some letters reads as a blank
     if not known:
         return text
     longest_first = re.compile("|".join(map(re.escape, sorted(known, key=len, reverse=True))))

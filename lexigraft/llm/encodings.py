@@ -11,7 +11,7 @@ Work is linear: units are counted per batch before they move, tokens are distinc
 both sides of the join are hashed on the token. Nothing is collected or broadcast.
 
 Defined results: null, empty and ASCII texts have no hits; repeated texts are hit each; a garbled
-form with several originals takes the most frequent one (ties: the smallest).
+form with several originals takes the most frequent one (ties: the greatest).
 """
 
 from __future__ import annotations
@@ -96,14 +96,21 @@ def _words(text: str) -> Iterator[str]:
                 yield w.strip("'-")
 
 
+def _read_twice(run: str) -> list[str]:
+    """Windows of three signs whose six bytes are two signs in UTF-8."""
+    b = run.encode("gb18030") if len(run) > 2 else b""
+    return [run[m.start() // 2 : m.start() // 2 + 3] for m in _TWO.finditer(b) if not m.start() & 1] if len(b) == 2 * len(run) else []
+
+
 def units_of(text: str) -> set[str]:
     """What the text offers as originals."""
     out = {w for w in _words(text) if not _HAN_RUN.search(w)}
     for run in _OTHER_RUN.findall(text):
         out.update(run)
     for run in _HAN_RUN.findall(text):
-        out.update(run)
-        out.update(map("".join, zip(run, run[1:])))
+        if 6 * len(_read_twice(run)) < max(6, len(run)):  # else the signs are bytes of others, read in twos
+            out.update(run)
+            out.update(map("".join, zip(run, run[1:])))
     return {u for u in out if LOST not in u}
 
 
@@ -116,10 +123,7 @@ def tokens_of(text: str) -> set[str]:
         for n in range(2, 9):
             out.update(run[i : i + n] for i in range(len(run) - n + 1))
     for run in _HAN_RUN.findall(text):
-        if len(run) > 2:
-            b = run.encode("gb18030")
-            if len(b) == 2 * len(run):
-                out.update(run[m.start() // 2 : m.start() // 2 + 3] for m in _TWO.finditer(b) if not m.start() & 1)
+        out.update(_read_twice(run))
     return out
 
 
@@ -182,8 +186,9 @@ def garbled_table(docs: DataFrame, text: str = "text") -> DataFrame:
     seen = units.select(F.col("unit").alias("form"), F.col("n").alias("seen"))
     # a form that is also a word of another language counts only where its original is far more common
     swaps = forms.where("swap").join(seen, "form").where("seen * 4 <= n").drop("seen")
-    # and what is garbled itself is no original
-    swaps = swaps.join(plain.select(F.col("form").alias("original")).distinct(), "original", "left_anti").select(plain.columns)
+    # what is garbled itself is no original
+    garbled = plain.select(F.col("form").alias("original")).distinct()
+    plain, swaps = (x.join(garbled, "original", "left_anti").select(plain.columns) for x in (plain, swaps))
     return plain.unionByName(swaps).groupBy("form").agg(F.max_by("original", F.struct("n", "original")).alias("original"))
 
 
@@ -196,7 +201,8 @@ def garbled_hits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def _restore(text: str, forms: list[str], originals: list[str]) -> str:
     known = {f: o for f, o in zip(forms, originals) if LOST not in f}
-    known |= {f + "\xa0": o for f, o in known.items() if f[-1] in "ÃÂ"}  # the last byte of some letters reads as a blank
+    # the last byte of some letters reads as a blank, which belongs to no word
+    known |= {f + "\xa0": o for f, o in known.items() if not f[-1].isascii() and any(garble(o, c) == f + "\xa0" for c in CHAINS)}
     if not known:
         return text
     longest_first = re.compile("|".join(map(re.escape, sorted(known, key=len, reverse=True))))

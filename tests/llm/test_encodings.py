@@ -20,11 +20,17 @@ def test_found_and_restored(spark):
     found = {r.doc_id for r in garbled_hits(d).select("doc_id").distinct().collect()}
     assert found == set(range(len(clean), len(clean) + len(bad)))
     back = {r.doc_id: (r.text, r.restored) for r in repaired(d).collect()}
-    for n, want in enumerate([FR] * 7 + [FR + "\nfièvre"] + [ZH] * 3):
+    for n, want in enumerate([FR] * 7 + [FR + "\nfièvre"]):
         assert back[len(clean) + n] == (want, True), n
     assert not back[len(clean) + len(bad) - 1][1]
 
 
+def test_han_restored(spark):
+    for read in ("cp1252", "latin-1", "mac_roman"):
+        back = repaired(docs(spark, [ZH, ZH, wrong(ZH, ("utf-8", read))])).collect()
+        assert [(r.doc_id, r.text, r.restored) for r in back] == [(2, ZH, True)], read
+
+
 def test_pieces():
     assert tokens_of("plain ascii") == set() and units_of("") == set() and LOST in tokens_of(f"d{LOST}crit")
     assert all(f != u for u in ("é", "据登", "déjà") for f, _ in forms_of(u)) and len(CHAINS) > 30

@@ -1,266 +1,271 @@
 """Noise in text from scanned pages: broken words, misread signs, running lines, page numbers.
 
-Pages are read as lines inside the JVM; Python sees distinct candidates only.
-
-* A page is *typed* if a line is longer than any printed line (``PRINTED``), else it may be scanned; a
-  file counts as scanned if one of its pages is wrapped like print. Typed pages give the vocabulary.
-* Furniture: lines at the edges of a page are folded (case, numbers, punctuation and misreadings
-  removed) and looked up per file, edge and fold; numbers alone on a line per file, edge and distance
-  from the page's place. What stands on two pages or more is furniture.
-* Broken words: a line-pair classifier looks at how often the joined word, the hyphenated compound and
-  the two parts occur in the corpus. The next page's first body line continues a page's last one.
-* Misread words: words the vocabulary lacks get correction candidates by an inverted join on character
-  bigrams; boosted trees rank them. Misread Han signs: windows of a sign and its neighbours are joined
-  to known windows through the neighbours, with the look-alikes of the sign in its place.
-
-Both classifiers are boosted trees fitted at run time on words and windows of the corpus itself,
-broken and misread by the noise model below. The samples are bounded (``SAMPLE_WORDS``,
-``SAMPLE_WINDOWS``), everything else covers all pages.
+* Every page is read once, in Arrow batches. Boosted trees judge from its line pairs how far its lines end
+  where the paper ended (``pages``); the judgements of a file's pages are added up. What flowing pages hold
+  is counted as vocabulary, what printed pages hold beside it.
+* Edits a scanner makes are learned from the corpus (``noise``): no list of misreadings is given.
+* Furniture (read from the edge inward as long as lines repeat; where most of a page repeats it is shared
+  text, of which the outermost line counts only): a boosted classifier of line pairs. Lines at the edges of pages, without case, numbers and
+  punctuation, are paired with those that read alike on another page of the file (found by a group-by on
+  learned spelling) and with the outermost line of the next two pages. Numbers alone on a line are furniture
+  if number less place is met on another page. Reading goes on inward behind furniture, however deep.
+* Broken words: a boosted classifier of line pairs looks at how often the joined word, the hyphenated
+  compound and the two parts occur, and at the mark. The next page's first body line continues a page's
+  last one.
+* Misread words: words of printed pages that no flowing page holds get candidates by inverted joins on gapped
+  q-grams (one place differs) and, for words left, on bigrams of the learned spelling; boosted trees rank
+  all candidates. Wide signs have no words: windows of a sign and its neighbours are joined instead.
+
+All classifiers are fitted at run time on the corpus itself, broken and misread as learned. Their samples
+are bounded (``pages.SAMPLE_PAGES``, ``SAMPLE_WORDS``, ``SAMPLE_WINDOWS``), everything else covers all pages.
 
 Defined results: null, empty and blank texts have no noise; repeated rows count once; a page that is
-not in the page list belongs to no file and has no case; a kind of noise is
-reported once for each page.
+not in the page list belongs to no file and has no case; a kind of noise is reported once for each page.
+Where no page flows, words met on three printed pages or more stand in as vocabulary; where no page is
+printed there is no noise. A page read as flowing at odds over e^4 is read so in any file.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexigraft.llm import pages
+from lexigraft.llm.arrow import map_rows, record_batch
 from lexigraft.llm.boosting import BoostedTrees
 from lexigraft.llm.mapping import similar_pairs
+from lexigraft.llm.noise import FEATURES, Noise, bigrams, gapped_pairs, learn_edits, weigh
 from lexigraft.session import checkpointed, stored
 
-PRINTED = 110
-EDGE = 3
 SAMPLE_WORDS = 400
-SAMPLE_WINDOWS = 3000
-#: Noise model, fixed values: what stands on the page -> what the scanner makes of it.
-MISREAD = (
-    ("rn", "m"), ("m", "rn"), ("cl", "d"), ("d", "cl"), ("w", "vv"), ("n", "ri"), ("li", "h"), ("h", "b"), ("e", "c"), ("g", "q"),
-    ("t", "f"), ("o", "0"), ("l", "1"), ("i", "!"), ("i", "1"), ("s", "5"), ("l", "i"), ("i", "l"), ("u", "ii"), ("b", "6"), ("z", "2"), ("a", "o"),
-)
-#: Han signs that scanners mistake for each other, fixed values: sign and look-alike.
-HAN_PAIRS = (
-    "未末 日曰 人入 已己 家冢 大犬 口ロ 体休 复夏 出岀 因囚 天夭 力カ 士土 干千 王玉 白自 目日 木本 午牛 刀力 大太 人八 今令 贝见 风凤 鸟乌 免兔 "
-    "石右 田由 甲申 候侯 抽油 析折 治冶 住往 侍待 哀衰 兵乒 戊戌 折拆 拔拨 间问 末来 夕タ 工エ 二ニ 一ー 八ハ 卜ト"
-).split()
-_LETTER = r"A-Za-z\x{aa}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}\x{370}-\x{3ff}\x{1e00}-\x{1fff}"  # Latin and Greek; ranges are tested faster than scripts
-_WORD = rf"[{_LETTER}0-9!|]+"
-_COMPOUND = rf"[{_LETTER}0-9]+(?:[-‐‑][{_LETTER}0-9]+)*"
-_HAN = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}"
-_MARK = r"[-\x{2010}\x{2011}\x{ac}\x{ad}]"
-
-
-def _partners() -> dict[str, list[str]]:
-    out: dict[str, list[str]] = {}
-    for a, b in HAN_PAIRS:
-        out.setdefault(a, []).append(b)
-        out.setdefault(b, []).append(a)
-    return out
-
-
-PARTNERS = _partners()
-_SIGNS = "".join(PARTNERS)
+SAMPLE_WINDOWS = 1500
+#: the most frequent known words are told apart before words move; they are known, so none is lost
+COMMON = 20_000
+FLOWING = -1.0
+#: edge lines looked at in one round
+ROUND = 3
+_READ = "kind tinyint, sid string, score double, n int, lines array<string>, item string, a bigint, b bigint"
+_ARROW = pa.schema([("kind", pa.int8()), ("sid", pa.string()), ("score", pa.float64()), ("n", pa.int32()), ("lines", pa.list_(pa.string())), ("item", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
+_LETTER = r"A-Za-z\x{aa}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}\x{370}-\x{3ff}\x{1e00}-\x{1fff}"
 
 
-_BLANK_CHARS = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
+# -- reading -------------------------------------------------------------------------------------
 
 
-def once(df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` with costly columns that are computed once a row: later filters and uses can not pull them apart."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+def windows_of(text: str) -> list[str]:
+    """Every wide sign with both neighbours."""
+    return [text[i - 1 : i + 2] for i in range(1, len(text) - 1) if text[i] > "\u30a0"]
 
 
-def to_lines(sources: DataFrame, key: str = "source_id", text: str = "text") -> DataFrame:
-    """(sid, ls, top, n): the lines of each page that show something; no shuffle."""
-    d = sources.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("sid"), F.col(f"`{text}`").alias("__t"))
-    ls = F.filter(F.transform(F.split("__t", "\n"), lambda x: F.btrim(x, F.lit(_BLANK_CHARS))), lambda x: x != "")
-    d = once(d, ls=ls).select("sid", "ls", F.size("ls").alias("n"))
-    return once(d, top=F.array_max(F.transform("ls", F.length))).where("n > 0")
+_OUTER = re.compile(f"^[{pages.LETTER}0-9]+|[{pages.LETTER}0-9]+$")
 
 
-def fold_line(c: Column) -> Column:
-    """A line without case, numbers, punctuation and what misreading changes."""
-    c = F.lower(c)
-    c = F.regexp_replace(c, rf"(?<![{_LETTER}])[0-9]+(?![{_LETTER}])|(?<![{_LETTER}0-9])[ivxlc]+(?![{_LETTER}0-9])", "")
-    return fold_word(F.regexp_replace(c, rf"[^{_LETTER}{_HAN}0-9!|ー-ヿァ-ー]", ""))
+class _Counts:
+    """Words and windows of flowing and of printed pages, counted while a task reads."""
 
+    def __init__(self) -> None:
+        self.words, self.signs = (Counter(), Counter()), (Counter(), Counter())
 
-def fold_word(c: Column) -> Column:
-    """Signs that scanners mix up fall together: each is spelt out in strokes, so no order of reading matters."""
-    for a, b in (("w", "vv"), ("m", "rn"), ("d", "cl"), ("n", "rl"), ("h", "ll"), ("b", "ll"), ("6", "ll"), ("u", "ll")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    han = {p[1]: p[0] for p in reversed(HAN_PAIRS)}
-    return F.translate(c, "0a1!|i5cqf2" + "".join(han), "oollllsegtz" + "".join(han.values()))
+    def add(self, ls: list[str], printed: bool) -> None:
+        text = "\n".join(ls).lower()
+        if printed:
+            self.words[1].update({w for w in (t.rstrip("!|") for t in pages.TOKEN.findall(text)) if len(w) > 1})
+            whole = "".join(ls)
+            if not whole.isascii():
+                self.signs[1].update(windows_of(whole))
+        else:
+            # a page may begin and end inside a word
+            self.words[0].update(pages.COMPOUND.findall(_OUTER.sub("", text)))
+            for x in ls:
+                if not x.isascii():
+                    self.signs[0].update(windows_of(x))
+
+    def size(self) -> int:
+        return sum(map(len, self.words + self.signs))
+
+    def rows(self) -> Iterator[tuple]:
+        for kind, (flow, printed) in ((1, self.words), (2, self.signs)):
+            for x in flow.keys() | printed.keys():
+                if kind == 1 or pages.is_wide(x[1]):
+                    yield kind, None, None, None, None, x, flow.get(x, 0), printed.get(x, 0)
+
+
+def _reader(model: BoostedTrees):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _Counts()
+        for batch in batches:
+            sids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            feats = [pages.page_features(t) for t in texts]
+            at = [i for i, f in enumerate(feats) if f]
+            scores = model.score(np.array([feats[i] for i in at], float).reshape(len(at), 8)).tolist()
+            rows = []
+            for i, score in zip(at, scores):
+                ls = pages.lines_of(texts[i])
+                counts.add(ls, score >= FLOWING)
+                rows.append((0, sids[i], score, len(ls), ls if score > -4 else None, None, None, None))
+            yield record_batch(rows, _ARROW)
+            if counts.size() > 500_000:  # partial counts: memory stays bounded
+                yield record_batch(counts.rows(), _ARROW)
+                counts = _Counts()
+        yield record_batch(counts.rows(), _ARROW)
+
+    return read
 
 
 # -- furniture -----------------------------------------------------------------------------------
 
-_ROMANS = ["".join(("c" * (i // 100), ("", "x", "xx", "xxx", "xl", "l", "lx", "lxx", "lxxx", "xc")[i // 10 % 10], ("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix")[i % 10])) for i in range(1, 400)]
+_NUMBER = re.compile(f"(?<![{pages.LETTER}])[0-9]+(?![{pages.LETTER}])|(?<![{pages.LETTER}0-9])[ivxlc]+(?![{pages.LETTER}0-9])")
+_SIGN = re.compile(f"[^{pages.LETTER}0-9!|㐀-䶿一-鿿ァ-ヿ]+")
 
 
-def page_value(line: Column) -> Column:
-    """The number a line consists of, decoration aside; null for any other line."""
-    s = F.lower(F.regexp_replace(line, r"\s+", " "))
-    bare = F.regexp_replace(s, r"^[\s\[\](){}<>·•.\-–—_~*=|]+|[\s\[\](){}<>·•.\-–—_~*=|]+$", "")
-    forms = [r"^(\d{1,5})$", r"^(?:page|p\.?|seite|pagina|página) ?(\d{1,5})(?: ?(?:of|/|von|de) ?\d{1,5})?$", r"^(\d{1,5}) ?/ ?\d{1,5}$", r"^第 ?(\d{1,5}) ?页(?:[ ,，]*共 ?\d{1,5} ?页)?$"]
-    found = [F.nullif(F.regexp_extract(bare, f, 1), F.lit("")).cast("int") for f in forms]
-    roman = F.nullif(F.array_position(F.array(*map(F.lit, _ROMANS)), bare), F.lit(0)).cast("int")
-    return F.coalesce(*found, F.when(bare.rlike("^[ivxlc]{1,10}$"), roman))
+def normal_line(line: str) -> str:
+    """A line without case, numbers, punctuation and blanks."""
+    return _SIGN.sub("", _NUMBER.sub("", line.lower()))
 
 
-def edge_lines(lines: DataFrame) -> DataFrame:
-    """(sid, edges, wrapped): what each page's outer lines say, and whether the page is wrapped like print.
+def pair_features(a: str, b: str, noise: Noise) -> list[float]:
+    """How two lines compare as two prints of one running line."""
 
-    ``edges``: array of (edge, depth, no, v, key): the number a line consists of, or the hash of its fold.
-    """
-    at = lambda i, d: F.struct(F.lit(i).alias("edge"), F.lit(d).alias("depth"), (F.lit(d) if i == 0 else F.col("n") - 1 - d).alias("no"))
-    spots = F.array_compact(F.array(*[F.when(F.col("n") > d, at(i, d)) for i in (0, 1) for d in range(EDGE)]))
-    full = F.size(F.filter("ls", lambda x: F.length(x) >= 0.72 * F.col("top")))
-    wrapped = (F.col("top") >= 18) & (F.col("n") >= 4) & (full >= 3) & (full >= 0.35 * F.col("n"))
-    e = lines.select("sid", wrapped.alias("wrapped"), F.transform(spots, lambda s: F.struct(s["edge"].alias("edge"), s["depth"].alias("depth"), s["no"].alias("no"), F.get("ls", s["no"]).alias("line"))).alias("spots"))
-    e = once(e, valued=F.transform("spots", lambda s: F.struct(s["edge"].alias("edge"), s["depth"].alias("depth"), s["no"].alias("no"), s["line"].alias("line"), page_value(s["line"]).alias("v"))))
-    return e.select("sid", "wrapped", F.transform("valued", lambda s: F.struct(s["edge"].alias("edge"), s["depth"].alias("depth"), s["no"].alias("no"), s["v"].alias("v"), F.when(s["v"].isNull(), _line_hash(s["line"])).alias("key"))).alias("edges"))
+    def jaccard(x: str, y: str) -> float:
+        if x == y:
+            return 1.0
+        p, q = bigrams(x), bigrams(y)
+        return len(p & q) / len(p | q)
 
+    return [jaccard(a, b), jaccard(noise.fold(a), noise.fold(b)), min(len(a), len(b)) / max(len(a), len(b), 1), float(np.log1p(min(len(a), len(b))))]
 
-def _line_hash(line: Column) -> Column:
-    f = fold_line(line)
-    return F.when(F.length(f) >= 2, F.xxhash64(f))
 
+def _other(line: str, words: list[str], r: random.Random) -> str:
+    """The line with one or two of its words (of wide text: some of its signs) replaced: another line that is much alike."""
+    parts = line.split()
+    if len(parts) > 2:
+        for _ in range(r.randint(1, 2)):
+            parts[r.randrange(len(parts))] = r.choice(words)
+        return " ".join(parts)
+    at = r.randrange(len(line))
+    return line[:at] + r.choice(words) + line[at + r.randint(1, 4) :]
 
-def furniture(edges: DataFrame) -> DataFrame:
-    """(sid, path, idx, no, kind): header and page-number lines. ``edges``: ``edge_lines`` with path and idx.
 
-    A line counts if its fold, or its number less the page's place, is met at the same edge of another page
-    of the file; hashes are compared within one file only.
-    """
-    e = edges.where("idx is not null").select("sid", "path", "idx", F.inline("edges")).where("v is not null or key is not null")
-    e = e.withColumn("kind", F.when(F.col("v").isNotNull(), "page_number").otherwise("header")).withColumn("k", F.coalesce("key", (F.col("v") - F.col("idx")).cast("long"))).drop("v", "key")
-    by = ["path", "edge", "kind", "k"]
-    again = e.groupBy(*by).agg(F.min("idx").alias("lo"), F.max("idx").alias("hi")).where("lo < hi").select(*by)
-    hit = e.join(again, by, "left_semi")
-    # a line further in counts only behind furniture
-    g = hit.groupBy("sid", "path", "idx", "edge").agg(F.array_sort(F.collect_set(F.struct("depth", "no", "kind"))).alias("a"))
-    return g.select("sid", "path", "idx", F.inline(F.filter("a", lambda x, i: x["depth"] == i))).select("sid", "path", "idx", "no", "kind")
+def fit_running(texts: list[str], noise: Noise) -> BoostedTrees:
+    """Trees that tell two prints of a line, misread as learned, from two lines that are alike."""
+    r = random.Random(len(texts))
+    lines = sorted({x for t in texts for x in _some(pages.lines_of(t), r)})
+    words = [w for x in lines for w in (x.split() if x.isascii() else [x[:3]])]
+    x, y = [], []
+    for raw, nxt in zip(lines, lines[1:]):
+        a = normal_line(raw)
+        pairs = [(noise.misread(a, r, r.randint(0, 3)), 1.0), (normal_line(nxt), 0.0), (normal_line(_other(raw, words, r)), 0.0), (normal_line(r.choice(lines)), 0.0)]
+        for b, label in pairs:
+            if a and b and not (label == 0 and noise.fold(a) == noise.fold(b)):
+                x.append(pair_features(a, b, noise))
+                y.append(label)
+    return BoostedTrees(rounds=20).fit(np.array(x, float).reshape(len(x), 4), np.array(y, float))
 
 
-# -- words ---------------------------------------------------------------------------------------
-
-
-def body_pages(lines: DataFrame, info: DataFrame) -> DataFrame:
-    """(sid, path, idx, ls, n, toks, wins): body lines of scanned pages, their distinct words and Han windows.
-
-    ``info``: (sid, path, idx, gone). The one shuffle of text, of scanned pages only.
-    """
-    b = lines.select("sid", "ls").join(info, "sid")
-    b = once(b, body=F.filter("ls", lambda x, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False))))
-    b = b.select("sid", "path", "idx", F.col("body").alias("ls"), F.size("body").alias("n")).where("n > 0")
-    around = lambda f: F.transform("ls", lambda x, i: f(x, F.coalesce(F.get("ls", i - 1), F.lit("")), F.coalesce(F.get("ls", i + 1), F.lit(""))))
-    # a blank line keeps windows and words of different lines apart
-    b = once(b, running=F.array_join(around(_unbroken), "\n"), context=F.when(F.exists("ls", lambda x: x.rlike(f"[{_HAN}]")), F.array_join(around(_in_context), "\n\n")))
-    return b.select("sid", "path", "idx", "ls", "n", F.array_distinct(_tokens(F.col("running"))).alias("toks"), F.array_distinct(F.coalesce(_windows(F.col("context")), F.array().cast("array<string>"))).alias("wins"))
-
+def _some(lines: list[str], r: random.Random) -> list[str]:
+    return r.sample(lines, min(3, len(lines)))
 
-def page_lines(body: DataFrame) -> DataFrame:
-    """(sid, path, idx, n, no, line, next) of body lines."""
-    row = F.transform("ls", lambda x, i: F.struct(i.alias("no"), x.alias("line"), F.coalesce(F.get("ls", i + 1), F.lit("")).alias("next")))
-    return body.select("sid", "path", "idx", "n", F.inline(row))
-
-
-def _last(c: Column, back: int = 1) -> Column:
-    return F.substring(c, -back, 1)
-
-
-def ends_broken(line: Column) -> Column:
-    """A letter and a mark at the end; told from two signs, without reading the line."""
-    return _last(line).isin("-", "‐", "‑", "¬", "­") & _last(line, 2).rlike(f"[{_LETTER}]")
-
-
-def _runs_on(line: Column, nxt: Column) -> Column:
-    """A Latin word may go on over the end of a line of Han text, where there is no mark."""
-    return _last(line).rlike(f"[{_LETTER}]") & F.substring(nxt, 1, 1).rlike(f"[{_LETTER}]") & line.rlike(f"[{_HAN}]")
-
-
-def _unbroken(line: Column, prev: Column, nxt: Column) -> Column:
-    """The line with its broken last word completed, and without what completes the line before.
-
-    Nearly all lines are told from their outermost signs; only the others meet a pattern.
-    """
-    tail = F.regexp_extract(nxt, rf"^[{_LETTER}]+", 0)
-    bare = F.substring(line, F.lit(1), F.length(line) - 1)
-    out = F.when(ends_broken(line), F.when(F.substring(nxt, 1, 1).rlike(f"[{_LETTER}]"), F.concat(bare, tail)).otherwise(F.regexp_replace(bare, f"{_WORD}$", "")))
-    out = out.when(_runs_on(line, nxt), F.regexp_replace(line, f"{_WORD}$", "")).otherwise(line)
-    return F.when(ends_broken(prev) | _runs_on(prev, line), F.regexp_replace(out, f"^{_WORD}", "")).otherwise(out)
 
+_EDGES = pa.schema([("sid", pa.string()), ("n", pa.int32()), ("edge", pa.int32()), ("depth", pa.int32()), ("no", pa.int32()), ("v", pa.int64()), ("key", pa.string()), ("line", pa.string())])
 
-def _tokens(c: Column) -> Column:
-    toks = F.regexp_extract_all(F.lower(c), F.lit(rf"[0-9!|]*[{_LETTER}][{_LETTER}0-9!|]*"), F.lit(0))
-    return F.filter(F.transform(toks, lambda t: F.rtrim(t, F.lit("!|"))), lambda t: F.length(t) > 1)
 
+def _edge_rows(noise: Noise, lo: int, hi: int):
+    """Lines ``lo``.. ``hi`` from both edges of each page: (sid, n, edge, depth, no, v, key, line)."""
 
-def typed_items(lines: DataFrame) -> DataFrame:
-    """(item, n): words, hyphenated compounds and Han windows of typed pages with their counts, in one pass."""
-    # a typed page may begin and end inside a word
-    whole = F.regexp_replace(F.lower(F.array_join("ls", "\n")), rf"^[{_LETTER}0-9]+|[{_LETTER}0-9]+\z", "")
-    t = once(lines.where(F.col("top") > PRINTED).select("ls"), whole=whole).select("whole")
-    han = F.when(F.col("whole").rlike(f"[{_HAN}]"), _windows(F.col("whole"))).otherwise(F.array().cast("array<string>"))
-    return t.select(F.explode(F.concat(F.regexp_extract_all("whole", F.lit(_COMPOUND), F.lit(0)), han)).alias("item")).groupBy("item").agg(F.count("*").alias("n"))
+    def rows(sids: list[str], pages_: list[list[str]]) -> Iterator[tuple]:
+        for sid, ls in zip(sids, pages_):
+            n = len(ls)
+            for d in range(lo, min(hi, n)):
+                for edge, no in ((0, d), (1, n - 1 - d)):
+                    v = pages.page_value(ls[no])
+                    line = normal_line(ls[no]) if v is None else ""
+                    yield sid, n, edge, d, no, v, noise.fold(line) if len(line) > 1 else None, line
 
+    return rows
 
-def vocabulary(items: DataFrame) -> DataFrame:
-    """(tok, n): words and hyphenated compounds."""
-    c = items.where(~F.col("item").rlike(f"^.[{_SIGNS}].$")).select(F.regexp_replace("item", "[‐‑]", "-").alias("tok"), "n")
-    parts = F.when(F.col("tok").contains("-"), F.array_append(F.split("tok", "-"), F.col("tok"))).otherwise(F.array("tok"))
-    return c.select(F.explode(parts).alias("tok"), "n").where(F.col("tok").rlike(rf"[{_LETTER}]")).groupBy("tok").agg(F.sum("n").alias("n"))
-
-
-def known_windows(items: DataFrame) -> DataFrame:
-    """(win, n) of a sign that has a look-alike, with both neighbours."""
-    return items.where(F.col("item").rlike(f"^.[{_SIGNS}].$")).select(F.col("item").alias("win"), "n")
-
-
-def _grams(c: Column) -> Column:
-    p = F.concat(F.lit("^"), c, F.lit("$"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(p) - 1), lambda i: F.substring(p, i, F.lit(2))))
-
-
-def candidates(words: DataFrame, vocab: DataFrame, least: float = 0.7) -> DataFrame:
-    """(w, c, n, f1..f7): candidates of each word with their features.
-
-    ``words``: distinct (w); ``vocab``: (tok, n). Retrieval is the inverted join on bigrams, rare ones
-    first, of the spelt-out strokes, in which misread words and their originals nearly agree.
-    """
-    w = words.select("w", fold_word(F.col("w")).alias("value"))
-    v = vocab.where(~F.col("tok").contains("-")).select(F.col("tok").alias("c"), "n", fold_word(F.col("tok")).alias("form"))
-    near = similar_pairs(w.select("value").distinct(), v.select("form").distinct(), least)
-    p = w.join(near, "value").join(v, "form").where(F.col("w") != F.col("c"))
-    both = F.size(F.array_intersect(_grams(F.col("w")), _grams(F.col("c"))))
-    raw = both / (F.size(_grams(F.col("w"))) + F.size(_grams(F.col("c"))) - both)
-    return p.select(
-        "w", "c", "n", raw.alias("f1"), F.levenshtein("w", "c").cast("double").alias("f2"), F.col("jaccard").alias("f3"), F.log1p("n").alias("f4"),
-        F.length("w").cast("double").alias("f5"), F.col("w").rlike("[0-9!|]").cast("double").alias("f6"), (F.col("form") == F.col("value")).cast("double").alias("f7"),
-    )
 
+def _running_udf(model: BoostedTrees, noise: Noise):
+    @F.pandas_udf(T.DoubleType())
+    def score(a: pd.Series, b: pd.Series) -> pd.Series:
+        at = [i for i, (x, y) in enumerate(zip(a, b)) if x and y]
+        out = np.full(len(a), -1.0)
+        if at:
+            out[at] = model.score(np.array([pair_features(a.iloc[i], b.iloc[i], noise) for i in at]))
+        return pd.Series(out)
 
-_F = [f"f{i}" for i in range(1, 8)]
+    return score
 
 
-def misread_copy(word: str, seed: int) -> str:
-    """The word as the noise model might misread it."""
-    r = random.Random(f"{seed}:{word}")
-    can = [(a, b, i) for a, b in MISREAD for i in range(len(word)) if word.startswith(a, i)]
-    if not can:
-        return word
-    a, b, i = r.choice(can)
-    return word[:i] + b + word[i + len(a) :]
+def furniture(lines: DataFrame, tasks: DataFrame, noise: Noise, model: BoostedTrees) -> DataFrame:
+    """(sid, path, idx, no, kind): header and page-number lines. ``lines``: (sid, lines); ``tasks``: (sid, path, idx)."""
+    score = _running_udf(model, noise)
+    hi, part = ROUND, lines
+    edges = None
+    while True:
+        new = map_rows(part, _edge_rows(noise, 0 if edges is None else hi // 2, hi), _EDGES).join(tasks, "sid")
+        new = new.withColumn("kind", F.when(F.col("v").isNotNull(), "page_number").when(F.col("key").isNotNull(), "header"))
+        new = new.withColumn("k", F.when(F.col("v").isNotNull(), F.col("v") - F.col("idx")).when(F.col("key").isNotNull(), F.xxhash64("key"))).drop("v", "key")
+        edges = stored(new if edges is None else edges.unionByName(new))
+        by = ["path", "edge", "kind", "k"]
+        again = edges.where("kind is not null").groupBy(*by).agg(F.min("idx").alias("lo"), F.max("idx").alias("hi"), F.min_by("line", "idx").alias("first"), F.max_by("line", "idx").alias("last")).where("lo < hi")
+        met = edges.join(again, by, "left").withColumn("other", F.when(F.col("idx") == F.col("lo"), F.col("last")).otherwise(F.col("first")))
+        sure = (F.col("kind") == "page_number") & F.col("lo").isNotNull()
+        met = met.withColumn("hit", F.when(sure, True).when(F.col("other").isNull(), False).otherwise(score("line", "other") > 0))
+        g = met.groupBy("sid", "path", "idx", "edge").agg(F.max("n").alias("n"), F.array_sort(F.collect_set(F.struct("depth", "no", "hit", "kind", "line"))).alias("a"))
+        # what stands behind furniture only: the outermost line of body text is held against the next two pages'
+        g = stored(g.withColumn("open", F.get(F.filter("a", lambda x: ~x["hit"]), F.lit(0))))
+        o = g.where("open.kind = 'header'").select("path", "edge", "idx", "sid", F.col("open.depth").alias("depth"), F.col("open.no").alias("no"), F.col("open.line").alias("line"))
+        nxt = o.select("path", "edge", F.explode(F.array(F.col("idx") - 1, F.col("idx") - 2)).alias("idx"), F.col("idx").alias("idx2"), F.col("sid").alias("sid2"), F.col("line").alias("line2"))
+        near = o.join(nxt, ["path", "edge", "idx"]).where(F.least(F.length("line"), F.length("line2")) >= 0.5 * F.greatest(F.length("line"), F.length("line2")))
+        near = near.where(score("line", "line2") > 0)
+        extra = near.select("path", "edge", F.explode(F.array(F.struct("sid", "idx"), F.struct(F.col("sid2").alias("sid"), F.col("idx2").alias("idx")))).alias("s")).select("s.sid", "path", "s.idx", "edge").distinct().withColumn("more", F.lit(True))
+        g = g.join(extra, ["sid", "path", "idx", "edge"], "left")
+        take = F.aggregate("a", F.lit(0), lambda n, x: F.when((x["depth"] == n) & (x["hit"] | F.coalesce("more", F.lit(False)) & (x["depth"] == F.col("open.depth"))), n + 1).otherwise(n))
+        g = stored(g.withColumn("take", take).where("take > 0").select("sid", "path", "idx", "n", "take", "a"))
+        deep = g.where((F.col("take") >= hi) & (F.col("n") > hi)).select("sid").distinct()
+        if deep.isEmpty():
+            # pages that share most of their lines share their text: no more than the outermost line is furniture
+            g = g.withColumn("take", F.when((F.col("take") > ROUND) & (2 * F.col("take") > F.col("n")), 1).otherwise(F.col("take")))
+            return g.select("sid", "path", "idx", F.inline(F.slice("a", F.lit(1), F.col("take")))).select("sid", "path", "idx", "no", "kind").distinct()
+        part, hi = lines.join(deep, "sid", "left_semi"), 2 * hi
+
+
+# -- body text -----------------------------------------------------------------------------------
+
+_END = pa.struct([("no", pa.int32()), ("left", pa.string()), ("mark", pa.string()), ("right", pa.string()), ("over", pa.bool_())])
+_BODY = pa.schema([("sid", pa.string()), ("path", pa.string()), ("idx", pa.int32()), ("n", pa.int32()), ("head", pa.string()), ("toks", pa.list_(pa.string())), ("parts", pa.list_(pa.string())), ("wins", pa.list_(pa.string())), ("ends", pa.list_(_END))])
+
+
+def _body_rows(common, signs: frozenset):
+    middle = re.compile("[" + re.escape("".join(sorted(signs))) + "]") if signs else None
+
+    def rows(*columns: list) -> Iterator[tuple]:
+        known = common.value
+        for sid, path, idx, ls, gone in zip(*columns):
+            drop = set(gone or ())
+            body = [x for i, x in enumerate(ls) if i not in drop]
+            if not body:
+                continue
+            text, joined = pages.unbroken(body)
+            toks = [t.rstrip("!|") for t in pages.TOKEN.findall("\n".join(text).lower())]
+            # a page may begin and end inside a word
+            parts = {w for w in (*toks[:1], *toks[-1:], *(x.lower() for x in joined)) if len(w) > 1} - known
+            toks = {w for w in toks[1:-1] if len(w) > 1} - known
+            whole = "".join(body)
+            wins = set() if middle is None or whole.isascii() else {whole[m.start() - 1 : m.start() + 2] for m in middle.finditer(whole) if 0 < m.start() < len(whole) - 1}
+            ends = [dict(zip(("no", "left", "mark", "right", "over"), e)) for e in pages.broken_ends(body)]
+            yield sid, path, idx, len(body), pages.head_of(body[0]), list(toks), list(parts), list(wins), ends
+
+    return rows
 
 
 def _score_udf(model: BoostedTrees, n: int):
@@ -272,134 +277,204 @@ def _score_udf(model: BoostedTrees, n: int):
     return score
 
 
-def misread_words(body: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(w, c): words of scanned pages that are misread, with their best correction."""
-    spark = body.sparkSession
-    seen = body.select(F.explode("toks").alias("w")).distinct()
-    # written, as what later joins infer about folded words would else be tested on every word of every page
-    unknown = stored(seen.join(vocab.select(F.col("tok").alias("w")), "w", "left_anti"))
-    picked = vocab.where((F.col("n") >= 3) & F.col("tok").rlike(f"^[{_LETTER}]{{2,}}$")).orderBy(F.xxhash64("tok"), "tok").limit(SAMPLE_WORDS)
-    words = [r.tok for r in picked.select("tok").collect()]
-    rows = {(misread_copy(w, 1), w) for w in words} | {(w, w) for w in words}
-    if not words:
-        return unknown.select("w", F.col("w").alias("c")).where("false")
-    made = spark.createDataFrame(sorted(rows), "w string, truth string")
-    labelled = made.join(candidates(made.select("w").distinct(), vocab), "w")
-    labelled = labelled.withColumn("y", ((F.col("c") == F.col("truth")) & (F.col("w") != F.col("truth"))).cast("double"))
-    t = labelled.select("w", "c", *_F, "y").orderBy("w", "c").toPandas()
-    model = BoostedTrees().fit(t[_F].to_numpy(), t["y"].to_numpy())
-    cand = candidates(unknown, vocab).where("f7 > 0")
-    scored = cand.withColumn("s", _score_udf(model, 7)(*_F)).where("s > 0")
-    return scored.groupBy("w").agg(F.max_by("c", F.struct("s", "n", "c")).alias("c"))
-
-
-# -- Han signs -----------------------------------------------------------------------------------
-
-_WINDOW = f"(?=([^\\n][[{_HAN}ァ-ヿ]&&[{_SIGNS}]][^\\n]))"
-
-
-def _windows(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(_WINDOW), F.lit(1))
-
-
-def _han_features(wins: DataFrame, known: DataFrame) -> DataFrame:
-    """(win, put, h1..h7): every look-alike put for the middle sign, with counts of both readings."""
-    swap = F.create_map(*[x for k, v in PARTNERS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    left, mid, right = (F.substring("win", i, 1) for i in (1, 2, 3))
-    w = wins.select("win", F.explode(swap[mid]).alias("put"))
-    w = w.select("win", "put", left.alias("l"), mid.alias("m"), right.alias("r"))
-    k = known.select(left.alias("l"), mid.alias("m"), right.alias("r"), "n")
-    by = lambda *c: k.groupBy(*c).agg(F.sum("n").alias("n"))
-    out = w
-    for i, cols in enumerate((["l", "m", "r"], ["l", "m"], ["m", "r"], ["m"])):
-        t = by(*cols)
-        out = out.join(t.withColumnRenamed("n", f"a{i}"), cols, "left")
-        out = out.join(t.withColumnRenamed("n", f"b{i}").withColumnRenamed("m", "put"), [c if c != "m" else "put" for c in cols], "left")
-    cnt = [F.log1p(F.coalesce(f"{x}{i}", F.lit(0))) for x in "ab" for i in range(4)]
-    return out.select("win", "put", *[c.alias(f"h{i + 1}") for i, c in enumerate(cnt)])
-
-
-_H = [f"h{i}" for i in range(1, 9)]
-
-
-def misread_windows(body: DataFrame, known: DataFrame) -> DataFrame:
-    """(win, put): windows whose middle sign is misread, with the sign that was meant."""
-    wins = body.select(F.explode("wins").alias("win")).distinct()
-    sample = known.orderBy(F.xxhash64("win"), "win").limit(SAMPLE_WINDOWS)
-    partner = F.create_map(*[F.lit(x) for k, v in PARTNERS.items() for x in (k, v[0])])
-    left, mid, right = (F.substring("win", i, 1) for i in (1, 2, 3))
-    bad = sample.select(F.concat(left, partner[mid], right).alias("win"), mid.alias("meant")).join(known.select("win"), "win", "left_anti")
-    good = sample.select("win", F.lit("").alias("meant"))
-    made = checkpointed(bad.unionByName(good))
-    feats = _han_features(made.select("win").distinct(), known).join(made, "win")
-    t = feats.select("win", "put", *_H, (F.col("put") == F.col("meant")).cast("double").alias("y")).orderBy("win", "put", "y").toPandas()
-    model = BoostedTrees().fit(t[_H].to_numpy(), t["y"].to_numpy())
-    scored = _han_features(wins, known).where("h5 > 0 or h6 > 0 or h7 > 0").withColumn("s", _score_udf(model, 8)(*_H)).where("s > 0")
-    return scored.groupBy("win").agg(F.max_by("put", F.struct("s", "put")).alias("put"))
+# -- misread words -------------------------------------------------------------------------------
 
 
-def _in_context(line: Column, prev: Column, nxt: Column) -> Column:
-    return F.concat(F.substring(prev, F.greatest(F.length(prev), F.lit(1)), F.lit(1)), line, F.substring(nxt, 1, 1))
+_RANKED = pa.schema([("w", pa.string()), ("c", pa.string()), ("a", pa.int64()), ("s", pa.float64()), ("learned", pa.bool_())])
 
 
-# -- broken words --------------------------------------------------------------------------------
+def _rank(model: BoostedTrees, noise: Noise):
+    def rows(w: list[str], c: list[str], a: list[int], b: list[int]) -> list[tuple]:
+        x = np.array([noise.features(*k) for k in zip(w, c, a, b)], float).reshape(len(w), FEATURES)
+        return [k for k in zip(w, c, a, model.score(x).tolist(), (x[:, 3] > 0).tolist()) if k[3] > 0]
+
+    return rows
+
+
+def misread_words(words: DataFrame, vocab: DataFrame, sound: DataFrame, noise: Noise) -> DataFrame:
+    """(w, c, learned): misread words with their best correction, and whether all its edits are learned ones. ``words``, ``sound``: (w, n); ``vocab``: (w, a, b, n)."""
+    spark = words.sparkSession
+    r = random.Random(1)
+    picked = [x.w for x in vocab.where("a >= 3").orderBy(F.xxhash64("w"), "w").limit(SAMPLE_WORDS).select("w").collect()]
+    held = [x.w for x in sound.orderBy(F.xxhash64("w"), "w").limit(2 * SAMPLE_WORDS).collect()]
+    made = {}
+    letters = sorted({ch for w in picked for ch in w} | set("0123456789!|"))
+    for w in picked:
+        bad = noise.misread(w, r, 1 if r.random() < 0.8 else 2)
+        if bad == w or r.random() < 0.25:  # edits not learned: any sign for any other, two in long words
+            bad = w
+            for _ in range(r.randint(1, 2) if len(w) > 7 else 1):
+                i = r.randrange(len(bad))
+                bad = bad[:i] + r.choice(letters) + bad[i + r.randint(1, 2) :]
+        if bad != w and bad not in held:
+            made[bad] = w
+    rows = [(w, 1, made.get(w, "")) for w in sorted({*made, *held})]
+    sample = spark.createDataFrame(rows, "w string, n bigint, truth string")
+    real = words.select("w", F.col("n").cast("bigint").alias("n"), F.lit(None).cast("string").alias("truth"))
+    # one place differs
+    one = _ranked(_candidates(real.unionByName(sample), vocab, lambda d: gapped_pairs(d, vocab)), noise)
+    # more places differ: bigrams of the learned spelling
+    fold = _fold_udf(noise)
+    forms = vocab.select(F.col("w").alias("c"), fold("w").alias("form"))
+
+    def near(d: DataFrame) -> DataFrame:
+        v = d.select("w").distinct().withColumn("value", fold("w"))
+        p = similar_pairs(v.select("value").distinct(), forms.select("form").distinct(), 0.6)
+        return v.join(p, "value").join(forms, "form").where("w <> c").select("w", "c")
+
+    two = _ranked(_candidates(real.join(one, "w", "left_anti").unionByName(sample), vocab, near), noise)
+    return one.unionByName(two)
+
+
+def _candidates(words: DataFrame, vocab: DataFrame, pairs) -> DataFrame:
+    """(w, c, a, b, truth) of candidates met more than twice as often as the word; ``truth`` is null for words that are no sample."""
+    v = vocab.select(F.col("w").alias("c"), "a", "b", F.col("n").alias("m"))
+    return stored(pairs(words).join(v, "c").join(words, "w").where("m > 2 * n").select("w", "c", "a", "b", "truth"))
+
+
+def _ranked(cand: DataFrame, noise: Noise) -> DataFrame:
+    """(w, c, learned): trees are fitted on the candidates of the sample and pick the best of all others."""
+    t = cand.where("truth is not null").orderBy("w", "c", "truth").collect()
+    x = np.array([noise.features(k.w, k.c, k.a, k.b) for k in t], float).reshape(len(t), FEATURES)
+    model = BoostedTrees().fit(x, np.array([k.c == k.truth for k in t], float))
+    good = map_rows(cand.where("truth is null").select("w", "c", "a", "b"), _rank(model, noise), _RANKED)
+    return stored(good.groupBy("w").agg(F.max(F.struct("s", "a", "c", "learned")).alias("x")).select("w", "x.c", "x.learned"))
+
+
+def _fold_udf(noise: Noise):
+    @F.pandas_udf(T.StringType())
+    def fold(s: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else noise.fold(x) for x in s], dtype=object)
+
+    return fold
+
+
+# -- wide signs ----------------------------------------------------------------------------------
+
+
+
+def _sign(i: int) -> Column:
+    return F.substring("win", i, 1)
+
+
+_H = [f"h{i}" for i in range(1, 10)]
+
+
+class Signs:
+    """Counts of wide signs in flowing pages by what stands beside them."""
+
+    def __init__(self, wins: DataFrame):
+        """``wins``: (win, a, b)."""
+        w = wins.select("win", "a", "b", _sign(1).alias("l"), _sign(2).alias("m"), _sign(3).alias("r"))
+        self.all = w
+        known = w.where("a > 0")
+        sums = lambda *c: known.groupBy(*c).agg(F.sum("a").alias("n"))
+        self.three, self.left, self.right, self.one = known.select("l", "m", "r", F.col("a").alias("n")), sums("l", "m"), sums("m", "r"), sums("m")
+
+    def odd(self) -> DataFrame:
+        """(win, l, m, r, own, u): windows of printed pages that no flowing page holds (u = 1) and those of
+        flowing pages (u = 0), with a sign that stands beside one of its neighbours nowhere else."""
+        w = self.all.where("a = 0 and b > 0").withColumn("u", F.lit(1)).unionByName(self.all.where("a > 0").withColumn("u", F.lit(0)))
+        w = w.join(self.left.withColumnRenamed("n", "x"), ["l", "m"], "left").join(self.right.withColumnRenamed("n", "y"), ["m", "r"], "left")
+        return w.where("coalesce(x, 0) <= a or coalesce(y, 0) <= a").select("win", "l", "m", "r", F.col("a").alias("own"), "u", "b")
+
+    def edits(self) -> tuple[dict[tuple[str, str], tuple[float, float]], frozenset]:
+        """Learned sign edits, and every sign that may be a misread one (no more than the script has)."""
+        odd = stored(self.odd())
+        p = odd.join(self.three.where("n > 2").select("l", "r", F.col("m").alias("put")), ["l", "r"]).where("put <> m")
+        v = stored(p.groupBy(F.col("put").alias("meant"), F.col("m").alias("seen")).agg(F.sum("u").cast("double").alias("u"), F.sum(1 - F.col("u")).cast("double").alias("b")).where("u > 0"))
+        rows = v.orderBy(F.desc("u"), "meant", "seen").limit(400).collect()
+        size = {x.u: x["count"] for x in odd.groupBy("u").count().collect()}
+        return weigh(rows, size.get(1, 0), size.get(0, 0)), frozenset(x.seen for x in v.select("seen").distinct().collect())
+
+    def candidates(self, wins: DataFrame, edits: DataFrame) -> DataFrame:
+        """(win, put, h1..h9, ...): signs that may be meant. ``wins``: (win, own, ...); ``edits``: (m, put, v, o)."""
+        w = wins.select("*", _sign(1).alias("l"), _sign(2).alias("m"), _sign(3).alias("r"))
+        by_place = w.join(self.three.select("l", "r", F.col("m").alias("put")), ["l", "r"]).where("put <> m")
+        by_edit = w.join(F.broadcast(edits.where("v >= 1 and o > 0").select("m", "put")), "m")  # at most 400 edits
+        out = by_place.unionByName(by_edit.select(by_place.columns)).distinct()
+        for name, t, cols in (("a1", self.left, ["l", "m"]), ("a2", self.right, ["m", "r"]), ("a3", self.one, ["m"]), ("b0", self.three, ["l", "m", "r"]), ("b1", self.left, ["l", "m"]), ("b2", self.right, ["m", "r"]), ("b3", self.one, ["m"])):
+            t = t.withColumnRenamed("n", name)
+            if name[0] == "b":
+                t, cols = t.withColumnRenamed("m", "put"), ["put" if c == "m" else c for c in cols]
+            out = out.join(t, cols, "left")
+        out = out.join(F.broadcast(edits), ["m", "put"], "left")
+        log = lambda c, less=F.lit(0): F.log1p(F.greatest(F.coalesce(c, F.lit(0)) - less, F.lit(0)))
+        feats = [*(log(F.col(c), F.col("own")) for c in ("a1", "a2", "a3")), *(log(F.col(c)) for c in ("b0", "b1", "b2", "b3")), log(F.col("v")), F.coalesce("o", F.lit(-1.0))]
+        return out.where("b0 > 0 or b1 > 0 or b2 > 0").select(*wins.columns, "put", *[f.cast("double").alias(h) for f, h in zip(feats, _H)])
+
+
+def misread_windows(wins: DataFrame, signs: Signs, noise: Noise) -> DataFrame:
+    """(win, put): windows whose middle sign is misread, with the sign that was meant. ``wins``: distinct (win)."""
+    spark = wins.sparkSession
+    edits = spark.createDataFrame([(y, x, float(n), float(o)) for (x, y), (n, o) in sorted(noise.signs.items())], "m string, put string, v double, o double")
+    likely: dict[str, list[str]] = {}
+    for (x, y), (n, o) in noise.signs.items():
+        if n >= 1 and o > 0:
+            likely.setdefault(x, []).append(y)
+    good = signs.three.select(F.concat("l", "m", "r").alias("win"), F.col("n").alias("own"))
+    may = good.where((F.col("own") > 2) & _sign(2).isin(*sorted(likely))) if likely else good.limit(0)
+    sample = [x.win for x in may.orderBy(F.xxhash64("win"), "win").limit(SAMPLE_WINDOWS).collect()]
+    bad = [(w[0] + y + w[2], 0, w[1]) for w in sample for y in likely[w[1]]]
+    sound = [(x.win, x.own, "") for x in good.orderBy(F.xxhash64("win"), "win").limit(SAMPLE_WINDOWS).collect()]
+    made = spark.createDataFrame(bad + sound, "win string, own bigint, meant string").distinct()
+    new = wins.join(good, "win", "left_anti").select("win", F.lit(0).cast("bigint").alias("own"), F.lit(None).cast("string").alias("meant"))
+    cand = stored(signs.candidates(made.join(good.select("win", F.col("own").alias("o2")), "win", "left").where("o2 is null or meant = ''").drop("o2").unionByName(new), edits))
+    t = cand.where("meant is not null").select(*_H, (F.col("put") == F.col("meant")).cast("double").alias("y")).orderBy(*_H, "y").toPandas()
+    model = BoostedTrees().fit(t[_H].to_numpy(float).reshape(len(t), 9), t["y"].to_numpy(float))
+    scored = cand.where("meant is null").withColumn("s", _score_udf(model, 9)(*_H)).where("s > 0")
+    return scored.groupBy("win").agg(F.max_by("put", F.struct("s", "put")).alias("put"))
 
 
-def _pair_features(pairs: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(left, right, q1..q4): counts of words that read like the joined word and like the compound, and of both parts."""
-    d = pairs.select("left", "right").distinct()
-    alike = vocab.groupBy(fold_word(F.col("tok")).alias("__t")).agg(F.sum("n").alias("n"))
-    same = vocab.select(F.col("tok").alias("__t"), "n")
-    looks = ((alike, fold_word(F.concat("left", "right"))), (alike, fold_word(F.concat_ws("-", "left", "right"))), (same, F.col("left")), (same, F.col("right")))
-    for name, (v, key) in zip(_Q, looks):
-        d = d.withColumn("__t", key).join(v.withColumnRenamed("n", name), "__t", "left").drop("__t")
-    return d.select("left", "right", *[F.log1p(F.coalesce(q, F.lit(0))).alias(q) for q in _Q])
+# -- broken words --------------------------------------------------------------------------------
 
+_Q = [f"q{i}" for i in range(1, 7)]
 
-_Q = ["q1", "q2", "q3", "q4"]
 
+def _pair_features(pairs: DataFrame, vocab: DataFrame, noise: Noise) -> DataFrame:
+    """(left, right, mark, q1..q6): counts of words that read like the joined word and like the compound, and of both parts; the mark."""
+    fold = _fold_udf(noise)
+    d = pairs.select("left", "right", "mark").distinct()
+    d = d.withColumn("joined", fold(F.concat("left", "right"))).withColumn("compound", fold(F.concat_ws("-", "left", "right")))
+    alike = vocab.withColumn("t", fold("tok")).groupBy("t").agg(F.sum("n").alias("n"))
+    same = vocab.select(F.col("tok").alias("t"), "n")
+    for name, v, key in zip(_Q, (alike, alike, same, same), ("joined", "compound", "left", "right")):
+        d = d.join(v.select(F.col("t").alias(key), F.col("n").alias(name)), key, "left")
+    cnt = [F.log1p(F.coalesce(q, F.lit(0))).alias(q) for q in _Q[:4]]
+    soft = F.col("mark").isin("¬", "­").cast("double").alias("q5")
+    return d.select("left", "right", "mark", *cnt, soft, (F.col("right") == "").cast("double").alias("q6"))
 
-def broken_words(body: DataFrame, vocab: DataFrame) -> DataFrame:
+
+def broken_words(body: DataFrame, vocab: DataFrame, noise: Noise) -> DataFrame:
     """(sid, path, idx, no, left, right, over): words broken at the end of a line or (``over``) of a page."""
     spark = body.sparkSession
-    head = lambda c: F.lower(F.regexp_extract(c, rf"^[{_LETTER}0-9]+", 0))
-    ends = page_lines(body.where(F.exists("ls", ends_broken))).where(ends_broken(F.col("line"))).select(
-        "sid", "path", "idx", "no", F.lower(F.regexp_extract("line", rf"([{_LETTER}0-9]+){_MARK}$", 1)).alias("left"),
-        _last(F.col("line")).alias("mark"), head(F.col("next")).alias("right"), (F.col("no") == F.col("n") - 1).alias("over"),
-    )
-    ends = checkpointed(ends.distinct())
+    ends = body.select("sid", "path", "idx", F.inline("ends")).distinct()
     # a page's last body line goes on at the first body line of the next page
-    nxt = body.select("path", (F.col("idx") - 1).alias("idx"), head(F.col("ls")[0]).alias("head"))
-    over = ends.where("over").select("path", "idx").distinct()
-    nxt = nxt.join(over, ["path", "idx"]).groupBy("path", "idx").agg(F.min("head").alias("head"))
-    every = ends.join(nxt.withColumn("over", F.lit(True)), ["path", "idx", "over"], "left").withColumn("right", F.when(F.col("over"), F.coalesce("head", F.lit(""))).otherwise(F.col("right"))).drop("head")
-    every = checkpointed(every)
-    picked = vocab.where((F.col("n") >= 2) & (F.length("tok") >= 5)).orderBy(F.xxhash64("tok"), "tok").limit(SAMPLE_WORDS).select("tok")
+    nxt = body.select("path", (F.col("idx") - 1).alias("idx"), "head").groupBy("path", "idx").agg(F.min("head").alias("head")).withColumn("over", F.lit(True))
+    every = ends.join(nxt, ["path", "idx", "over"], "left").withColumn("right", F.when(F.col("over"), F.coalesce("head", F.lit(""))).otherwise(F.col("right"))).drop("head")
+    every = stored(every)
+    some = vocab.where((F.col("n") >= 2) & (F.length("tok") >= 5) & ~F.col("tok").contains("-")).orderBy(F.xxhash64("tok"), "tok").limit(SAMPLE_WORDS).select("tok")
     compounds = vocab.where(F.col("tok").contains("-")).orderBy(F.xxhash64("tok"), "tok").limit(SAMPLE_WORDS).select("tok")
-    made = []
-    for r in picked.unionByName(compounds).distinct().collect():
-        if "-" in r.tok:
-            a, b = r.tok.rsplit("-", 1)
-            made.append((a.split("-")[-1], b, 0.0))
+    made = set()
+    for k in some.unionByName(compounds).collect():
+        r = random.Random(k.tok)
+        if "-" in k.tok:
+            a, b = k.tok.rsplit("-", 1)
+            a = a.split("-")[-1]
+            made |= {(a, b, "-", 0.0), (a, "", "-", 0.0)} if a and b else set()
         else:
-            cut = random.Random(r.tok).randint(2, len(r.tok) - 2)
-            made.append((r.tok[:cut], r.tok[cut:], 1.0))
-    if not made:
-        return every.where("false").select("sid", "path", "idx", "no", "left", "right", "over")
-    made_df = spark.createDataFrame(sorted(set(made)), "left string, right string, y double")
-    t = _pair_features(made_df, vocab).join(made_df, ["left", "right"]).orderBy("left", "right", "y").toPandas()
-    model = BoostedTrees().fit(t[_Q].to_numpy(), t["y"].to_numpy())
-    judged = every.join(_pair_features(every, vocab), ["left", "right"]).withColumn("s", _score_udf(model, 4)(*_Q))
-    # where the other part is not at hand, a part that is no word of its own was broken off
-    lone = (F.col("right") == "") & (F.col("q3") == 0)
-    soft = F.col("mark").isin("¬", "­")
-    return judged.where(soft | lone | (F.col("right") != "") & (F.col("s") > 0)).select("sid", "path", "idx", "no", "left", "right", "over").distinct()
+            cut = r.randint(2, len(k.tok) - 2)
+            made |= {(k.tok[:cut], k.tok[cut:], m, 1.0) for m in ("-", "­")} | {(k.tok[:cut], "", m, 1.0) for m in ("-", "¬")}
+    made_df = spark.createDataFrame(sorted(made), "left string, right string, mark string, y double")
+    feats = stored(_pair_features(every.select("left", "right", "mark").unionByName(made_df.select("left", "right", "mark")), vocab, noise))
+    t = feats.join(made_df, ["left", "right", "mark"]).orderBy("left", "right", "mark", "y").toPandas()
+    model = BoostedTrees().fit(t[_Q].to_numpy(float).reshape(len(t), 6), t["y"].to_numpy(float))
+    judged = feats.withColumn("s", _score_udf(model, 6)(*_Q)).where("s > 0").select("left", "right", "mark")
+    return every.join(judged, ["left", "right", "mark"]).select("sid", "path", "idx", "no", "left", "right", "over").distinct()
 
 
 # -- all together --------------------------------------------------------------------------------
 
-
-_WORD_AT = re.compile("[A-Za-z0-9!|\u00aa\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0370-\u03ff\u1e00-\u1fff]+")
 _MARK_AT = re.compile("[-\u2010\u2011\u00ac\u00ad]$")
 
 
@@ -413,7 +488,7 @@ def repair_page(text: str, gone: set[int], broken: set[tuple[str, str]], words:
     open_ = fresh = False
     n = -1
     for line in text.replace("\r", "").split("\n"):
-        line = line.strip(_BLANK_CHARS)
+        line = line.strip(pages.BLANKS)
         if not line:
             open_ = False
             continue
@@ -428,7 +503,7 @@ def repair_page(text: str, gone: set[int], broken: set[tuple[str, str]], words:
         else:
             have = paragraphs[-1]
             marked = _MARK_AT.search(have)
-            a, b = _WORD_AT.findall(have[:-1])[-1:] if marked else [], _WORD_AT.match(line)
+            a, b = pages.WORD_AT.findall(have[:-1])[-1:] if marked else [], pages.WORD_AT.match(line)
             if marked and a and b and (a[0].lower(), b[0].lower()) in broken:
                 paragraphs[-1] = have[:-1] + line
             elif marked and b:
@@ -450,7 +525,7 @@ def repair_page(text: str, gone: set[int], broken: set[tuple[str, str]], words:
 
     out = "\n\n".join(p for p in paragraphs if p)
     if words:
-        out = _WORD_AT.sub(put, out)
+        out = pages.WORD_AT.sub(put, out)
     for was, meant in signs.items():
         out = out.replace(was, meant)
     return out
@@ -471,39 +546,60 @@ class Scans:
     """The stages over one pair of tables; tables that several stages need are written once."""
 
     def __init__(self, sources: DataFrame, tasks: DataFrame, key: str = "source_id", text: str = "text", path: str = "relative_path", place: str = "chunk_index"):
+        spark = sources.sparkSession
         self.sources, self.key, self.text = sources, key, text
-        self.lines = to_lines(sources, key, text)
-        self.tasks = tasks.select(F.col(f"`{key}`").alias("sid"), F.col(f"`{path}`").alias("path"), F.col(f"`{place}`").cast("int").alias("idx")).where("sid is not null").distinct()
-        items = stored(typed_items(self.lines))
-        self.vocab = stored(vocabulary(items))
-        self.known = stored(known_windows(items))
-        maybe = stored(self.lines.where(F.col("top") <= PRINTED))
-        edges = stored(edge_lines(maybe).join(self.tasks, "sid", "left"))
-        self.marks = stored(furniture(edges))
-        paths = edges.where("wrapped").select("path").distinct()
+        texts = sources.select(F.col(f"`{key}`").alias("sid"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null and sid is not null")
+        self.tasks = tasks.select(F.col(f"`{key}`").alias("sid"), F.col(f"`{path}`").alias("path"), F.col(f"`{place}`").cast("int").alias("idx")).where("sid is not null and path is not null and idx is not null").distinct()
+        sample = [r.text for r in texts.orderBy(F.xxhash64("sid"), "sid").limit(pages.SAMPLE_PAGES).collect()]
+        read = stored(texts.mapInArrow(_reader(pages.fit_layout(sample)), _READ))
+        page = read.where("kind = 0").select("sid", "score", "n", "lines")
+        sums = lambda kind: read.where(F.col("kind") == kind).groupBy("item").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        words = sums(1).where(F.col("item").rlike(f"[{_LETTER}]")).select(F.regexp_replace("item", "[\u2010\u2011]", "-").alias("tok"), "a", "b")
+        parts = F.when(F.col("tok").contains("-"), F.array_append(F.split("tok", "-"), F.col("tok"))).otherwise(F.array("tok"))
+        words = words.select(F.explode(parts).alias("tok"), "a", "b").where("tok <> ''").groupBy("tok").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        self.words = stored(words.where(F.length("tok") > 1).withColumn("n", F.col("a") + F.col("b")))
+        flows = self.words.where("a > 0").isEmpty()
+        self.known = self.words.where("a > 0" if not flows else "b > 2").select("tok", F.col("b" if flows else "a").alias("n"))
+        plain = self.words.where(~F.col("tok").contains("-")).withColumnRenamed("tok", "w")
+        self.vocab = plain.where("n >= 3")
+        self.sound = plain.where("a > 0").select("w", F.col("a").alias("n"))
+        self.signs = Signs(stored(sums(2).withColumnRenamed("item", "win")))
+        seen, middles = self.signs.edits()
+        unknown = plain.where("a = 0 and b > 0").select("w", "n")
+        self.noise = Noise(learn_edits(unknown, self.sound, self.vocab.select("w", "n")), seen)
+        # a file is printed if its pages are, taken together
+        placed = page.select("sid", "score", F.col("lines").isNotNull().alias("near")).distinct().join(self.tasks, "sid")
+        files = placed.groupBy("path").agg(F.sum("score").alias("score")).where("score > 0").select("path")
+        inside = stored(placed.where("near").select("sid", "path", "idx").distinct().join(files, "path", "left_semi"))
+        near = page.where("lines is not null").select("sid", "lines")
+        self.marks = stored(furniture(near, inside, self.noise, fit_running(sample, self.noise)))
         gone = self.marks.groupBy("sid", "path", "idx").agg(F.collect_set("no").alias("gone"))
-        pages = edges.select("sid", "path", "idx").distinct().join(paths, "path", "left_semi")
-        self.info = stored(pages.join(gone, ["sid", "path", "idx"], "left"))
-        self.body = stored(body_pages(maybe, self.info))
+        self.info = inside.join(gone, ["sid", "path", "idx"], "left")
+        common = [r.tok for r in self.words.where("a > 0").orderBy(F.desc("a"), "tok").limit(COMMON).select("tok").collect()]
+        body = near.join(self.info, "sid").select("sid", "path", "idx", "lines", "gone")
+        self.body = stored(map_rows(body, _body_rows(spark.sparkContext.broadcast(frozenset(common)), middles), _BODY))
 
     def broken(self) -> DataFrame:
         """(sid, path, idx, no, left, right, over); ``no`` counts body lines."""
-        return broken_words(self.body, self.vocab)
+        return broken_words(self.body, self.known, self.noise)
 
     def misread(self) -> DataFrame:
         """(sid, was, meant) of misread words and signs in body lines."""
-        words = stored(misread_words(self.body, self.vocab))
-        hits = self.body.select("sid", F.explode("toks").alias("w")).join(words, "w").select("sid", F.col("w").alias("was"), F.col("c").alias("meant"))
-        signs = stored(misread_windows(self.body, self.known))
-        wins = self.body.select("sid", F.explode("wins").alias("win"))
+        as_part = lambda c, part: F.transform(c, lambda w: F.struct(w.alias("w"), F.lit(part).alias("part")))
+        seen = F.explode(F.concat(as_part("toks", False), as_part("parts", True))).alias("t")
+        toks = stored(self.body.select("sid", seen).select("sid", "t.w", "t.part").distinct().join(self.words.where("a > 0").select(F.col("tok").alias("w")), "w", "left_anti"))
+        words = misread_words(toks.groupBy("w").agg(F.count("*").alias("n")), self.vocab, self.sound, self.noise)
+        # what may be part of a word only is misread where the edits are learned ones
+        hits = toks.join(words, "w").where("learned or not part").select("sid", F.col("w").alias("was"), F.col("c").alias("meant"))
+        wins = self.body.select("sid", F.explode("wins").alias("win")).distinct()
+        signs = stored(misread_windows(wins.select("win").distinct(), self.signs, self.noise))
         han = wins.join(signs, "win").select("sid", F.col("win").alias("was"), F.concat(F.substring("win", 1, 1), "put", F.substring("win", 3, 1)).alias("meant"))
         return hits.unionByName(han).distinct()
 
     def found(self) -> DataFrame:
         """(source_id, noise)."""
         kind = lambda d, k: d.select("sid", F.lit(k).alias("noise"))
-        marks = self.marks.select("sid", "kind").distinct().join(self.info.select("sid"), "sid", "left_semi").select("sid", F.col("kind").alias("noise"))
-        out = marks.unionByName(kind(self.broken(), "hyphenation")).unionByName(kind(self.misread(), "misread"))
+        out = self.marks.select("sid", F.col("kind").alias("noise")).unionByName(kind(self.broken(), "hyphenation")).unionByName(kind(self.misread(), "misread"))
         return out.select(F.col("sid").alias("source_id"), "noise").distinct()
 
     def repaired(self) -> DataFrame:
@@ -514,8 +610,8 @@ class Scans:
         nxt = broken.where("over and right <> ''").select("path", (F.col("idx") + 1).alias("idx"), F.col("right").alias("first"))
         first = nxt.join(self.info, ["path", "idx"]).groupBy("sid").agg(F.max("first").alias("first"))
         fixes = self.misread().groupBy("sid").agg(F.collect_list(F.struct("was", "meant")).alias("fixes"))
-        pages = self.sources.where(F.col(f"`{self.text}`").isNotNull()).select(F.col(f"`{self.key}`").alias("sid"), F.col(f"`{self.text}`").alias("text"))
-        pages = pages.join(self.info.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
+        texts = self.sources.where(F.col(f"`{self.text}`").isNotNull()).select(F.col(f"`{self.key}`").alias("sid"), F.col(f"`{self.text}`").alias("text"))
+        texts = texts.join(self.info.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"])
         for d in (gone, within, fixes, first):
-            pages = pages.join(d, "sid", "left")
-        return pages.select(F.col("sid").alias("source_id"), _repaired("text", "gone", "broken", "fixes", "completes", "first").alias("text"))
+            texts = texts.join(d, "sid", "left")
+        return texts.select(F.col("sid").alias("source_id"), _repaired("text", "gone", "broken", "fixes", "completes", "first").alias("text"))

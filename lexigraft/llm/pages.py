@@ -17,7 +17,7 @@ import numpy as np
 
 from lexigraft.llm.boosting import BoostedTrees
 
-SAMPLE_PAGES = 1500
+SAMPLE_PAGES = 600
 LETTER = r"A-Za-z\u00aa\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0370-\u03ff\u1e00-\u1fff"  # Latin and Greek
 MARKS = "-\u2010\u2011\u00ac\u00ad"
 BLANKS = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
@@ -43,12 +43,17 @@ def is_wide(ch: str) -> bool:
 
 def lines_of(text: str) -> list[str]:
     """The lines of a page that show something, without the blanks around them."""
-    return [x for x in (line.strip(BLANKS) for line in text.split("\n")) if x]
+    return [x for x in rows_of(text) if x]
 
 
-def page_features(text: str) -> list[float] | None:
-    """Features of the page's layout from its line pairs; None for a page that shows nothing."""
-    raw = [line.strip(BLANKS) for line in text.split("\n")]
+def rows_of(text: str) -> list[str]:
+    """All lines of a page without the blanks around them."""
+    return [line.strip(BLANKS) for line in text.split("\n")]
+
+
+def page_features(text: str, raw: list[str] | None = None) -> list[float] | None:
+    """Features of the page's layout from its line pairs (``raw``: its ``rows_of``); None for a page that shows nothing."""
+    raw = rows_of(text) if raw is None else raw
     lens = sorted(len(x) for x in raw if x)
     n = len(lens)
     if not n:

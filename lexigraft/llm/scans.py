@@ -27,6 +27,7 @@ printed there is no noise. A page read as flowing at odds over e^4 is read so in
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -61,12 +62,25 @@ _LETTER = r"A-Za-z\x{aa}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}\x{370}-\x
 # -- reading -------------------------------------------------------------------------------------
 
 
-def windows_of(text: str) -> list[str]:
-    """Every wide sign with both neighbours."""
-    return [text[i - 1 : i + 2] for i in range(1, len(text) - 1) if text[i] > "\u30a0"]
+def count_windows(texts: list[str], into: Counter) -> None:
+    """Add every wide sign with both neighbours; texts and lines are kept apart."""
+    codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype("int64")
+    if len(codes) < 3:
+        return
+    a, m, b = codes[:-2], codes[1:-1], codes[2:]
+    at = ((m >= 0x3400) & (m <= 0x9FFF) | (m >= 0x30A1) & (m <= 0x30FF)) & (a != 10) & (b != 10)
+    keys, n = np.unique(a[at] << 42 | m[at] << 21 | b[at], return_counts=True)
+    for k, x in zip(keys.tolist(), n.tolist()):
+        into[chr(k >> 42) + chr(k >> 21 & 0x1FFFFF) + chr(k & 0x1FFFFF)] += x
 
 
-_OUTER = re.compile(f"^[{pages.LETTER}0-9]+|[{pages.LETTER}0-9]+$")
+def _whole_words(text: str) -> str:
+    """The text without what may be part of a word at its beginning and end."""
+    m = pages.WORD_AT.match(text)
+    end = len(text)
+    while end and (text[end - 1].isdigit() or pages.is_letter(text[end - 1])):
+        end -= 1
+    return text[m.end() if m else 0 : end]
 
 
 class _Counts:
@@ -79,15 +93,15 @@ class _Counts:
         text = "\n".join(ls).lower()
         if printed:
             self.words[1].update({w for w in (t.rstrip("!|") for t in pages.TOKEN.findall(text)) if len(w) > 1})
-            whole = "".join(ls)
-            if not whole.isascii():
-                self.signs[1].update(windows_of(whole))
         else:
-            # a page may begin and end inside a word
-            self.words[0].update(pages.COMPOUND.findall(_OUTER.sub("", text)))
-            for x in ls:
-                if not x.isascii():
-                    self.signs[0].update(windows_of(x))
+            self.words[0].update(pages.COMPOUND.findall(_whole_words(text)))
+
+    def add_signs(self, texts: list[list[str]], printed: bool) -> None:
+        """Lines of a flowing page stand for themselves, a printed page runs on from line to line."""
+        glue = "" if printed else "\n"
+        some = [t for t in (glue.join(ls) for ls in texts) if not t.isascii()]
+        for i in range(0, len(some), 1000):
+            count_windows(some[i : i + 1000], self.signs[printed])
 
     def size(self) -> int:
         return sum(map(len, self.words + self.signs))
@@ -95,24 +109,28 @@ class _Counts:
     def rows(self) -> Iterator[tuple]:
         for kind, (flow, printed) in ((1, self.words), (2, self.signs)):
             for x in flow.keys() | printed.keys():
-                if kind == 1 or pages.is_wide(x[1]):
-                    yield kind, None, None, None, None, x, flow.get(x, 0), printed.get(x, 0)
+                yield kind, None, None, None, None, x, flow.get(x, 0), printed.get(x, 0)
 
 
 def _reader(model: BoostedTrees):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _Counts()
         for batch in batches:
-            sids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            feats = [pages.page_features(t) for t in texts]
-            at = [i for i, f in enumerate(feats) if f]
-            scores = model.score(np.array([feats[i] for i in at], float).reshape(len(at), 8)).tolist()
-            rows = []
-            for i, score in zip(at, scores):
-                ls = pages.lines_of(texts[i])
-                counts.add(ls, score >= FLOWING)
-                rows.append((0, sids[i], score, len(ls), ls if score > -4 else None, None, None, None))
-            yield record_batch(rows, _ARROW)
+            for start in range(0, batch.num_rows, 2000):
+                part = batch.slice(start, 2000)
+                sids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
+                raws = [pages.rows_of(t) for t in texts]
+                feats = [pages.page_features(t, raw) for t, raw in zip(texts, raws)]
+                at = [i for i, f in enumerate(feats) if f]
+                scores = model.score(np.array([feats[i] for i in at], float).reshape(len(at), 8)).tolist()
+                rows = []
+                for i, score in zip(at, scores):
+                    ls = [x for x in raws[i] if x]
+                    counts.add(ls, score >= FLOWING)
+                    rows.append((0, sids[i], score, len(ls), ls, None, None, None))
+                for printed in (False, True):
+                    counts.add_signs([r[4] for r in rows if (r[2] >= FLOWING) == printed], printed)
+                yield record_batch((r if r[2] > -4 else (*r[:4], None, *r[5:]) for r in rows), _ARROW)
             if counts.size() > 500_000:  # partial counts: memory stays bounded
                 yield record_batch(counts.rows(), _ARROW)
                 counts = _Counts()
@@ -135,13 +153,16 @@ def normal_line(line: str) -> str:
 def pair_features(a: str, b: str, noise: Noise) -> list[float]:
     """How two lines compare as two prints of one running line."""
 
+    if a == b:
+        return [1.0, 1.0, 1.0, math.log1p(len(a))]
+
     def jaccard(x: str, y: str) -> float:
         if x == y:
             return 1.0
         p, q = bigrams(x), bigrams(y)
         return len(p & q) / len(p | q)
 
-    return [jaccard(a, b), jaccard(noise.fold(a), noise.fold(b)), min(len(a), len(b)) / max(len(a), len(b), 1), float(np.log1p(min(len(a), len(b))))]
+    return [jaccard(a, b), jaccard(noise.fold(a), noise.fold(b)), min(len(a), len(b)) / max(len(a), len(b), 1), math.log1p(min(len(a), len(b)))]
 
 
 def _other(line: str, words: list[str], r: random.Random) -> str:
@@ -341,6 +362,14 @@ def _ranked(cand: DataFrame, noise: Noise) -> DataFrame:
     return stored(good.groupBy("w").agg(F.max(F.struct("s", "a", "c", "learned")).alias("x")).select("w", "x.c", "x.learned"))
 
 
+def looked_up(d: DataFrame, keys: dict[str, Column], counts: DataFrame) -> DataFrame:
+    """``d`` with one column per key: its count in ``counts`` (t, n), 0 where there is none. One join for all keys."""
+    d = d.withColumn("__i", F.xxhash64(*d.columns))
+    rows = d.select("__i", F.explode(F.array(*[F.struct(F.lit(k).alias("q"), c.alias("t")) for k, c in keys.items()])).alias("x")).select("__i", "x.*")
+    n = rows.join(counts, "t").groupBy("__i").agg(*[F.max(F.when(F.col("q") == k, F.col("n"))).alias(k) for k in keys])
+    return d.join(n, "__i", "left").select(*[c for c in d.columns if c != "__i"], *[F.coalesce(k, F.lit(0)).alias(k) for k in keys])
+
+
 def _fold_udf(noise: Noise):
     @F.pandas_udf(T.StringType())
     def fold(s: pd.Series) -> pd.Series:
@@ -368,15 +397,19 @@ class Signs:
         w = wins.select("win", "a", "b", _sign(1).alias("l"), _sign(2).alias("m"), _sign(3).alias("r"))
         self.all = w
         known = w.where("a > 0")
-        sums = lambda *c: known.groupBy(*c).agg(F.sum("a").alias("n"))
-        self.three, self.left, self.right, self.one = known.select("l", "m", "r", F.col("a").alias("n")), sums("l", "m"), sums("m", "r"), sums("m")
+        self.three = known.select("l", "m", "r", F.col("a").alias("n"))
+        star = F.lit("*")
+        parts = F.explode(F.array(F.concat("l", "m", star), F.concat(star, "m", "r"), F.concat(star, "m", star)))
+        sums = known.select(parts.alias("t"), "a").groupBy("t").agg(F.sum("a").alias("n"))
+        # counts of windows, of signs with one neighbour, and of signs
+        self.counts = stored(sums.unionByName(known.select(F.col("win").alias("t"), F.col("a").alias("n"))))
 
     def odd(self) -> DataFrame:
         """(win, l, m, r, own, u): windows of printed pages that no flowing page holds (u = 1) and those of
         flowing pages (u = 0), with a sign that stands beside one of its neighbours nowhere else."""
         w = self.all.where("a = 0 and b > 0").withColumn("u", F.lit(1)).unionByName(self.all.where("a > 0").withColumn("u", F.lit(0)))
-        w = w.join(self.left.withColumnRenamed("n", "x"), ["l", "m"], "left").join(self.right.withColumnRenamed("n", "y"), ["m", "r"], "left")
-        return w.where("coalesce(x, 0) <= a or coalesce(y, 0) <= a").select("win", "l", "m", "r", F.col("a").alias("own"), "u", "b")
+        w = looked_up(w.select("win", "l", "m", "r", F.col("a").alias("own"), "u"), {"x": F.concat("l", "m", F.lit("*")), "y": F.concat(F.lit("*"), "m", "r")}, self.counts)
+        return w.where("x <= own or y <= own")
 
     def edits(self) -> tuple[dict[tuple[str, str], tuple[float, float]], frozenset]:
         """Learned sign edits, and every sign that may be a misread one (no more than the script has)."""
@@ -393,11 +426,9 @@ class Signs:
         by_place = w.join(self.three.select("l", "r", F.col("m").alias("put")), ["l", "r"]).where("put <> m")
         by_edit = w.join(F.broadcast(edits.where("v >= 1 and o > 0").select("m", "put")), "m")  # at most 400 edits
         out = by_place.unionByName(by_edit.select(by_place.columns)).distinct()
-        for name, t, cols in (("a1", self.left, ["l", "m"]), ("a2", self.right, ["m", "r"]), ("a3", self.one, ["m"]), ("b0", self.three, ["l", "m", "r"]), ("b1", self.left, ["l", "m"]), ("b2", self.right, ["m", "r"]), ("b3", self.one, ["m"])):
-            t = t.withColumnRenamed("n", name)
-            if name[0] == "b":
-                t, cols = t.withColumnRenamed("m", "put"), ["put" if c == "m" else c for c in cols]
-            out = out.join(t, cols, "left")
+        star = F.lit("*")
+        keys = {"a1": ("l", "m", star), "a2": (star, "m", "r"), "a3": (star, "m", star), "b0": ("l", "put", "r"), "b1": ("l", "put", star), "b2": (star, "put", "r"), "b3": (star, "put", star)}
+        out = looked_up(out, {k: F.concat(*v) for k, v in keys.items()}, self.counts)
         out = out.join(F.broadcast(edits), ["m", "put"], "left")
         log = lambda c, less=F.lit(0): F.log1p(F.greatest(F.coalesce(c, F.lit(0)) - less, F.lit(0)))
         feats = [*(log(F.col(c), F.col("own")) for c in ("a1", "a2", "a3")), *(log(F.col(c)) for c in ("b0", "b1", "b2", "b3")), log(F.col("v")), F.coalesce("o", F.lit(-1.0))]
@@ -436,11 +467,10 @@ def _pair_features(pairs: DataFrame, vocab: DataFrame, noise: Noise) -> DataFram
     fold = _fold_udf(noise)
     d = pairs.select("left", "right", "mark").distinct()
     d = d.withColumn("joined", fold(F.concat("left", "right"))).withColumn("compound", fold(F.concat_ws("-", "left", "right")))
-    alike = vocab.withColumn("t", fold("tok")).groupBy("t").agg(F.sum("n").alias("n"))
-    same = vocab.select(F.col("tok").alias("t"), "n")
-    for name, v, key in zip(_Q, (alike, alike, same, same), ("joined", "compound", "left", "right")):
-        d = d.join(v.select(F.col("t").alias(key), F.col("n").alias(name)), key, "left")
-    cnt = [F.log1p(F.coalesce(q, F.lit(0))).alias(q) for q in _Q[:4]]
+    # spelt as learned, and as written
+    alike = vocab.select(F.concat(F.lit("~"), fold("tok")).alias("t"), "n").unionByName(vocab.select(F.col("tok").alias("t"), "n")).groupBy("t").agg(F.sum("n").alias("n"))
+    d = looked_up(d, {"q1": F.concat(F.lit("~"), "joined"), "q2": F.concat(F.lit("~"), "compound"), "q3": F.col("left"), "q4": F.col("right")}, alike)
+    cnt = [F.log1p(q).alias(q) for q in _Q[:4]]
     soft = F.col("mark").isin("¬", "­").cast("double").alias("q5")
     return d.select("left", "right", "mark", *cnt, soft, (F.col("right") == "").cast("double").alias("q6"))
 

@@ -14,6 +14,7 @@ import difflib
 import math
 import random
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,8 +53,11 @@ def gapped_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """(w, c): words ``left.w`` and ``right.w`` that differ in one place, by an inverted join on gapped q-grams.
 
     A key fixes all letters but two, so its posting list is bounded by the alphabet and no key is hot. Words
-    pass the join as numbers, so a long word costs no more than its letters.
+    pass the join as numbers, so a long word costs no more than its letters; a word that is longer than all
+    of ``right`` by more than the gap has no partner and is left out.
     """
+    longest = right.agg(F.max(F.length("w")).alias("n")).first().n or 0
+    left = left.where(F.length("w") <= longest + GAP)
     a, b = (d.select(F.xxhash64("w").alias("id"), "w").distinct() for d in (left, right))
     p = map_rows(a, _key_rows, _KEYS).join(map_rows(b, _key_rows, _KEYS).withColumnRenamed("id", "id2"), "k").where("id <> id2").select("id", "id2").distinct()
     return p.join(a, "id").join(b.select(F.col("id").alias("id2"), F.col("w").alias("c")), "id2").select("w", "c")
@@ -140,9 +144,10 @@ class Noise:
 FEATURES = 10
 
 
-def bigrams(word: str) -> set[str]:
+@lru_cache(maxsize=1 << 14)
+def bigrams(word: str) -> frozenset[str]:
     p = f"^{word}$"
-    return {p[i : i + 2] for i in range(len(p) - 1)}
+    return frozenset([p[i : i + 2] for i in range(len(p) - 1)])
 
 
 _VOTES = pa.schema([("meant", pa.string()), ("seen", pa.string()), ("u", pa.float64()), ("b", pa.float64())])

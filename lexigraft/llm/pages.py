@@ -138,6 +138,9 @@ _DECOR = " []\t(){}<>\u00b7\u2022.\u2013\u2014_~*=|-\u3000\xa0"
 _NUMBERED = re.compile("(?:page|p\\.?|seite|pagina|página) ?(\\d{1,9})(?: ?(?:of|/|von|de) ?\\d{1,9})?|(\\d{1,9})(?: ?/ ?\\d{1,9})?|第 ?(\\d{1,9}) ?页(?:[ ,，]*共 ?\\d{1,9} ?页)?")
 
 
+_MAYBE = re.compile("\\d|^[\\W_]*[ivxlcIVXLC]+[\\W_]*$")
+
+
 def roman(s: str) -> int | None:
     if not s or not _ROMAN.match(s):
         return None
@@ -147,7 +150,7 @@ def roman(s: str) -> int | None:
 
 def page_value(line: str) -> int | None:
     """The number a line consists of, decoration aside; None for any other line."""
-    if len(line) > 60:
+    if len(line) > 60 or not _MAYBE.search(line):
         return None
     s = re.sub("\\s+", " ", line.lower()).strip(_DECOR)
     m = _NUMBERED.fullmatch(s)
@@ -166,7 +169,7 @@ def ends_broken(line: str) -> bool:
 
 def runs_on(line: str, nxt: str) -> bool:
     """A Latin word may go on over the end of a line of wide text, where there is no mark."""
-    return bool(line and nxt) and is_letter(line[-1]) and is_letter(nxt[0]) and not line.isascii() and any(map(is_wide, line))
+    return not line.isascii() and nxt != "" and is_letter(line[-1]) and is_letter(nxt[0]) and any(map(is_wide, line))
 
 
 def unbroken(body: list[str]) -> tuple[list[str], list[str]]:

@@ -157,12 +157,13 @@ def pair_features(a: str, b: str, noise: Noise) -> list[float]:
         return [1.0, 1.0, 1.0, math.log1p(len(a))]
 
     def jaccard(x: str, y: str) -> float:
-        if x == y:
-            return 1.0
         p, q = bigrams(x), bigrams(y)
-        return len(p & q) / len(p | q)
+        both = len(p & q)
+        return both / (len(p) + len(q) - both)
 
-    return [jaccard(a, b), jaccard(noise.fold(a), noise.fold(b)), min(len(a), len(b)) / max(len(a), len(b), 1), math.log1p(min(len(a), len(b)))]
+    plain = jaccard(a, b)
+    # lines with hardly a bigram in common are no closer in learned spelling
+    return [plain, plain if plain < 0.15 else jaccard(noise.fold(a), noise.fold(b)), min(len(a), len(b)) / max(len(a), len(b), 1), math.log1p(min(len(a), len(b)))]
 
 
 def _other(line: str, words: list[str], r: random.Random) -> str:
@@ -240,7 +241,7 @@ def furniture(lines: DataFrame, tasks: DataFrame, noise: Noise, model: BoostedTr
         again = edges.where("kind is not null").groupBy(*by).agg(F.min("idx").alias("lo"), F.max("idx").alias("hi"), F.min_by("line", "idx").alias("first"), F.max_by("line", "idx").alias("last")).where("lo < hi")
         met = edges.join(again, by, "left").withColumn("other", F.when(F.col("idx") == F.col("lo"), F.col("last")).otherwise(F.col("first")))
         sure = (F.col("kind") == "page_number") & F.col("lo").isNotNull()
-        met = met.withColumn("hit", F.when(sure, True).when(F.col("other").isNull(), False).otherwise(score("line", "other") > 0))
+        met = met.withColumn("hit", F.when(sure, True).when(F.col("other").isNull(), False).otherwise(score(F.when(F.col("other").isNotNull(), F.col("line")), "other") > 0))
         g = met.groupBy("sid", "path", "idx", "edge").agg(F.max("n").alias("n"), F.array_sort(F.collect_set(F.struct("depth", "no", "hit", "kind", "line"))).alias("a"))
         # what stands behind furniture only: the outermost line of body text is held against the next two pages'
         g = stored(g.withColumn("open", F.get(F.filter("a", lambda x: ~x["hit"]), F.lit(0))))
@@ -338,8 +339,11 @@ def misread_words(words: DataFrame, vocab: DataFrame, sound: DataFrame, noise: N
     fold = _fold_udf(noise)
     forms = vocab.select(F.col("w").alias("c"), fold("w").alias("form"))
 
+    longest = vocab.agg(F.max(F.length("w")).alias("n")).first().n or 0
+
     def near(d: DataFrame) -> DataFrame:
-        v = d.select("w").distinct().withColumn("value", fold("w"))
+        # a sign is misread as two signs at most
+        v = d.where(F.length("w") <= 2 * longest).select("w").distinct().withColumn("value", fold("w"))
         p = similar_pairs(v.select("value").distinct(), forms.select("form").distinct(), 0.6)
         return v.join(p, "value").join(forms, "form").where("w <> c").select("w", "c")
 
@@ -418,7 +422,10 @@ class Signs:
         v = stored(p.groupBy(F.col("put").alias("meant"), F.col("m").alias("seen")).agg(F.sum("u").cast("double").alias("u"), F.sum(1 - F.col("u")).cast("double").alias("b")).where("u > 0"))
         rows = v.orderBy(F.desc("u"), "meant", "seen").limit(400).collect()
         size = {x.u: x["count"] for x in odd.groupBy("u").count().collect()}
-        return weigh(rows, size.get(1, 0), size.get(0, 0)), frozenset(x.seen for x in v.select("seen").distinct().collect())
+        # a misread sign is met in more than one window, or in no flowing page at all
+        alien = v.select(F.concat(F.lit("*"), "seen", F.lit("*")).alias("t"), "seen").join(self.counts, "t", "left_anti").select("seen")
+        seen = v.where("u > 1").select("seen").union(alien).distinct().collect()
+        return weigh(rows, size.get(1, 0), size.get(0, 0)), frozenset(x.seen for x in seen)
 
     def candidates(self, wins: DataFrame, edits: DataFrame) -> DataFrame:
         """(win, put, h1..h9, ...): signs that may be meant. ``wins``: (win, own, ...); ``edits``: (m, put, v, o)."""

@@ -18,21 +18,25 @@ def leading_dash_level(title: Column) -> Column:
     return F.length(F.regexp_replace(F.regexp_extract(title, "^[- ]*", 0), " ", ""))
 
 
-def hierarchy(rows: DataFrame, order: str, level: Column, by: list[str] | None = None, deepest: int = 32) -> DataFrame:
-    """Rows with ``depth`` and ``parent`` title; ``rows`` has a ``title``.
+def hierarchy(rows: DataFrame, order: str, level: Column, by: list[str] | None = None) -> DataFrame:
+    """Rows with ``depth`` and ``parent`` title, however deep; ``rows`` has a ``title``.
 
     Levels may jump; a row then counts as one below the row before it. The closed form
     ``least(min over earlier rows of (level - row) + row, row - 1)`` replaces a stack. ``by`` names
     the columns that separate lists: each list is one window, so give them where there are many.
+    A row's parent is the last row before it that is one level up: every row is laid beside the rows
+    of its own level, as one that may be a parent, and beside those of the level above, as one that asks.
     """
     keys = [F.col(c) for c in (by or [])] or [F.lit(0)]
     w = Window.partitionBy(*keys).orderBy(order)
     r = rows.withColumn("__rn", F.row_number().over(w)).withColumn("__l", level)
     r = r.withColumn("__m", F.min(F.col("__l") - F.col("__rn")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     r = r.withColumn("depth", F.least(F.col("__m") + F.col("__rn"), F.col("__rn") - 1).cast("int"))
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    tops = F.array(*[F.last(F.when(F.col("depth") == k, F.col("title")), ignorenulls=True).over(before) for k in range(deepest)])
-    return r.withColumn("parent", F.when(F.col("depth") > 0, F.get(tops, F.col("depth") - 1))).drop("__rn", "__l", "__m")
+    part = lambda at, title, asks: F.struct(at.alias("at"), title.alias("title"), F.lit(asks).alias("asks"))
+    r = r.withColumn("__p", F.explode(F.array(part(F.col("depth"), F.col("title"), False), part(F.col("depth") - 1, F.lit(None).cast("string"), True))))
+    above = Window.partitionBy(*keys, "__p.at").orderBy("__rn").rowsBetween(Window.unboundedPreceding, -1)
+    r = r.withColumn("parent", F.last("__p.title", ignorenulls=True).over(above)).where("__p.asks")
+    return r.drop("__rn", "__l", "__m", "__p")
 
 
 def wide_records(pairs: DataFrame, keys: list[str] | None = None, sep: str = "||") -> DataFrame:

@@ -21,7 +21,7 @@ _TITLES = "(SELECT p_brand, p_partkey, repeat('- ', CAST(p_size % 6 AS INTEGER))
 
 
 def hierarchy(spark, d):
-    return t.hierarchy(_titles(spark, d), "p_partkey", t.dash_level(F.col("title")), by=["p_brand"], deepest=8).select("p_partkey", F.btrim("title", F.lit("- ")).alias("title"), "depth", F.btrim("parent", F.lit("- ")).alias("parent"))
+    return t.hierarchy(_titles(spark, d), "p_partkey", t.dash_level(F.col("title")), by=["p_brand"]).select("p_partkey", F.btrim("title", F.lit("- ")).alias("title"), "depth", F.btrim("parent", F.lit("- ")).alias("parent"))
 
 
 _HIERARCHY = f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,8 +33,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, schema=None) -> DataFrame
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (local tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. A temporary one stands in for it under a local master only."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return shared or os.path.join(tempfile.gettempdir(), "lexigraft-checkpoints")
 
 
@@ -48,6 +51,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """Cut lineage through a Parquet table in the shared folder: smaller than a checkpoint, read by column."""
     spark = df.sparkSession
-    at = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    at = scratch(spark)
     df.write.parquet(at)
     return spark.read.schema(df.schema).parquet(at)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder that is removed when the driver ends."""
+    at = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return at

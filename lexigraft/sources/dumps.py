@@ -18,8 +18,19 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_obo(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
-    """One row per term, repeated keys joined with ``||``."""
-    return wide_records(stanza_pairs(_lines(spark, path), compat).drop("doc")).drop("rec")
+    """One row per term of each file, repeated keys joined with ``||``.
+
+    The reader splits at the head of a stanza, so a large file is many tasks. ``compat`` (see
+    ``stanza_pairs``) needs every file in order and reads it whole.
+    """
+    if compat:
+        p = stanza_pairs(_lines(spark, path), True)
+        return wide_records(p.select(F.struct("doc", "rec").alias("rec"), "pos", "key", "val")).drop("rec")
+    r = spark.read.option("lineSep", "\n[").text(path).withColumn("rec", F.monotonically_increasing_id())
+    ls = F.split(F.regexp_replace("value", "\r", ""), "\n")
+    terms = r.select("rec", F.posexplode(ls).alias("pos", "line"), F.ltrim(F.get(ls, F.lit(0)), F.lit("[")).alias("head")).where("head = 'Term]' and pos > 0")
+    k, v = split_first(F.col("line"), ": ")
+    return wide_records(terms.where(F.col("line").contains(": ")).select("rec", "pos", k.alias("key"), v.alias("val"))).drop("rec")
 
 
 def read_mesh(spark: SparkSession, path: str) -> DataFrame:
@@ -41,8 +52,9 @@ def read_malacards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_titles(spark: SparkSession, path: str, order: str = "ord") -> DataFrame:
-    """(ord, title) of a classification's title column, as CSV (spreadsheets are to be saved as CSV)."""
-    return _lines(spark, path).where(F.col("pos") > 0).where("line <> ''").select(F.col("pos").alias(order), F.regexp_replace("line", '^"|"$', "").alias("title"))
+    """(ord, title) of a classification's first column, as CSV (spreadsheets are to be saved as CSV); ``ord`` rises in file order."""
+    t = read_table(spark, path)
+    return t.select(F.monotonically_increasing_id().alias(order), F.col(f"`{t.columns[0]}`").alias("title")).where("title <> ''")
 
 
 def read_drugs(spark: SparkSession, path: str) -> DataFrame:
@@ -63,5 +75,9 @@ def read_disorder_genes(spark: SparkSession, path: str, charset: str = "ISO-8859
 
 def read_disorders(spark: SparkSession, path: str) -> DataFrame:
     """The nested disorder records of the JSON dump."""
-    j = spark.read.option("multiLine", True).json(path)
+    return disorders_of(spark.read.option("multiLine", True).json(path))
+
+
+def disorders_of(j: DataFrame) -> DataFrame:
+    """The nested disorder records of parsed dumps."""
     return j.select(F.explode(F.get(F.get("JDBOR", F.lit(0))["DisorderList"], F.lit(0))["Disorder"]).alias("d")).select("d.*")

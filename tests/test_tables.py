@@ -38,6 +38,25 @@ def test_obo(spark, tmp_path):
     assert sorted(r.id or "" for r in old.collect()) == ["", "HP:1"]
 
 
+def test_obo_files_stay_apart(spark, tmp_path):
+    for n in "AB":
+        (tmp_path / f"{n}.obo").write_text(f"format-version: 1\n\n[Term]\nid: {n}:1\nname: n{n}\n\n[Term]\nid: {n}:2\n")
+    got = sorted((r.id, r.name) for r in dumps.read_obo(spark, str(tmp_path)).collect())
+    assert got == [("A:1", "nA"), ("A:2", None), ("B:1", "nB"), ("B:2", None)]
+    assert sorted(r.id for r in dumps.read_obo(spark, str(tmp_path), compat=True).where("id is not null").collect()) == ["A:1", "B:1"]
+
+
+def test_deep_hierarchy(spark):
+    rows = spark.createDataFrame([(i, "-" * i + f"t{i}") for i in range(100)], "n int, title string")
+    got = t.hierarchy(rows, "n", t.leading_dash_level(F.col("title"))).orderBy("n").collect()
+    assert [r.depth for r in got] == list(range(100)) and [r.parent for r in got] == [None, *("-" * i + f"t{i}" for i in range(99))]
+
+
+def test_titles_are_csv(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('title\n"a, b"\n\n"say ""x"""\nplain\n')
+    assert [r.title for r in dumps.read_titles(spark, str(tmp_path / "t.csv")).orderBy("ord").collect()] == ["a, b", 'say "x"', "plain"]
+
+
 def test_mesh_and_tables(spark, tmp_path):
     (tmp_path / "c.bin").write_text("*NEWRECORD\nNM = x = y\nSY = a|T1\nSY = b|T2\nUI = C1\n*NEWRECORD\nNM = z\nUI = C2\n")
     m = {r.UI: (r.NM, r.SY) for r in dumps.read_mesh(spark, str(tmp_path / "c.bin")).collect()}

@@ -6,21 +6,22 @@ because Java's ``\\s`` is ASCII only; RE2 accepts the same spelling.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WS = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}-\x{2029}\x{202f}\x{205f}\x{3000}]"
-#: blanks and characters that show nothing
-BLANKISH = WS[:-1] + r"\x{200b}\x{feff}]"
+#: the same code points as they are
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
-def lit_cols(*xs):
-    return [F.lit(x) if not isinstance(x, Column) else x for x in xs]
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with costly columns that are computed once a row: later filters and uses can not pull them apart."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def strip_ws(c: Column) -> Column:
     """Both ends without white space of any kind; null stays null."""
-    return F.regexp_replace(F.regexp_replace(c, f"^{WS}+", ""), f"{WS}+$", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def collapse_ws(c: Column) -> Column:

@@ -1,11 +1,11 @@
 """Finding and undoing text that was decoded with the wrong character encoding.
 
 The corpus repairs itself: every distinct unit of the corpus (a word with a letter beyond ASCII, a
-single such character, one or two Han characters) is sent through every chain of encodings, and the
+single such character, by itself and between its neighbours, one or two Han characters) is sent through every chain of encodings, and the
 table (garbled form -> original) is hash-joined with the tokens of the documents. Only tokens equal
 to a garbled form of a unit that occurs elsewhere are hits, so tree drawings, Greek letters and
-accented capitals are left alone. Hits are replaced by their originals; where a chain loses bytes
-(replacement characters) the document is reported though it can not be restored.
+accented capitals are left alone. Where a chain loses bytes, forms hold the replacement character in its
+place. Hits are replaced by their originals; a document whose lost letters can not be told stays marked.
 
 Work is linear: units are counted per batch before they move, tokens are distinct per document, and
 both sides of the join are hashed on the token. Nothing is collected or broadcast.
@@ -17,19 +17,28 @@ form with several originals takes the most frequent one (ties: the greatest).
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
+
+from lexigraft.llm.arrow import map_rows, record_batch
+from lexigraft.session import stored
 
 LOST = "\ufffd"
 _HANISH = "⺀-⿟　-鿿-﫿︰-﹏＀-￯"
 _HAN_RUN = re.compile(f"[{_HANISH}]+")
 _OTHER_RUN = re.compile(f"[^\x00-\x7f{_HANISH}]+")
-_WORD = re.compile(r"[^\s!-&(-,./:-@\[-`{-~]{2,48}")
+_WORD = re.compile(r"[^\s!-&(-,./:-@\[-`{-~]{2,}")
+_HAN_STOPS = re.compile("[\u3000-\u303f\uff01-\uff0f\uff1a-\uff20\u2018-\u201d]+")
+#: no sign's form is longer: four bytes, each read as a sign of at most three bytes
+LONGEST = 12
 #: two characters of three UTF-8 bytes each, as pairs of bytes
 _TWO = re.compile(rb"(?=((?:[\xe3-\xe9][\x80-\xbf]{2}|\xef[\xbc\xbd][\x80-\xbf]){2}))")
 
@@ -91,9 +100,12 @@ def garble(text: str, chain: tuple[tuple[str, str], ...]) -> str | None:
 def _words(text: str) -> Iterator[str]:
     for w in _WORD.findall(text):
         if not w.isascii():
-            han = sum(map(len, _HAN_RUN.findall(w)))
-            if han == 0 or han <= 4 and len(w) > han:
+            if not _HAN_RUN.search(w):
                 yield w.strip("'-")
+            else:  # signs among letters; what stands between two stops
+                for part in _HAN_STOPS.split(w):
+                    if len(part) > 1 and not part.isascii() and not _HAN_RUN.fullmatch(part):
+                        yield part.strip("'-")
 
 
 def _read_twice(run: str) -> list[str]:
@@ -102,11 +114,24 @@ def _read_twice(run: str) -> list[str]:
     return [run[m.start() // 2 : m.start() // 2 + 3] for m in _TWO.finditer(b) if not m.start() & 1] if len(b) == 2 * len(run) else []
 
 
+def _lost_places(text: str) -> set[str]:
+    """Lost signs with what stands on both sides, as ``forms_of`` a letter in its place."""
+    return {m[0] for m in _LOST_AT.finditer(text)}
+
+
+_LOST_AT = re.compile("[^\\W\\d_]\ufffd+[^\\W\\d_]")
+_IN_PLACE = re.compile("(?=([^\\W\\d_][^\x00-\x7f\ufffd][^\\W\\d_]))")
+
+
 def units_of(text: str) -> set[str]:
     """What the text offers as originals."""
-    out = {w for w in _words(text) if not _HAN_RUN.search(w)}
+    # a word is written in letters, signs of currency, figures and the like are none
+    out = {w for w in _words(text) if not _HAN_RUN.search(w) and all(c < "\x80" or unicodedata.category(c)[0] in "LMP" for c in w)}
     for run in _OTHER_RUN.findall(text):
         out.update(run)
+    for m in _IN_PLACE.findall(text):
+        if not _HAN_RUN.search(m):
+            out.add("\0" + m)  # a letter between its neighbours
     for run in _HAN_RUN.findall(text):
         if 6 * len(_read_twice(run)) < max(6, len(run)):  # else the signs are bytes of others, read in twos
             out.update(run)
@@ -118,9 +143,9 @@ def tokens_of(text: str) -> set[str]:
     """What of the text may be garbled."""
     out = set(_words(text))
     if LOST in text:
-        out.add(LOST)
+        out |= _lost_places(text)
     for run in _OTHER_RUN.findall(text):
-        for n in range(2, 9):
+        for n in range(2, LONGEST + 1):
             out.update(run[i : i + n] for i in range(len(run) - n + 1))
     for run in _HAN_RUN.findall(text):
         out.update(_read_twice(run))
@@ -128,7 +153,11 @@ def tokens_of(text: str) -> set[str]:
 
 
 def forms_of(unit: str) -> Iterator[tuple[str, bool]]:
-    """(garbled form, needs a frequency check) of a unit under every chain."""
+    """(garbled form, needs a frequency check) of a unit under every chain; lost bytes stand as they are read."""
+    if unit[0] == "\0":  # one letter lost between its neighbours: as one sign, or as one for each of its bytes
+        a, m, b = unit[1:]
+        yield from {(a + LOST * n + b, False) for n in (1, len(m.encode("utf-8", "replace")))}
+        return
     one = len(unit) == 1
     han = bool(_HAN_RUN.fullmatch(unit))
     seen = {unit}
@@ -139,17 +168,13 @@ def forms_of(unit: str) -> Iterator[tuple[str, bool]]:
         f = garble(unit, chain)
         if f is None:
             continue
-        if LOST in f:
-            f = LOST if one or han else f
         f = f.strip(" \t\r\n\xa0'-") if not one else f
-        if f in seen or f.isascii() or len(f) < 2 and f != LOST:
+        if f in seen or f.isascii() or len(f) < 2 or not f.strip(LOST):
             continue
-        if _HAN_RUN.fullmatch(f) and len(f) != 3:
+        if _HAN_RUN.fullmatch(f) and len(f) != 3:  # two signs of three bytes are read as three of two
             continue
         seen.add(f)
         yield f, False
-    if one and not han:
-        yield LOST, False
     if len(unit) > 3 and not han:
         for swap in SWAPS:
             f = garble(unit, (swap,))
@@ -158,49 +183,64 @@ def forms_of(unit: str) -> Iterator[tuple[str, bool]]:
                 yield f, LOST not in f
 
 
-def _unit_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        n: Counter = Counter()
-        for t in pdf["text"]:
-            n.update(units_of(t))
-        yield pd.DataFrame({"unit": list(n.keys()), "n": list(n.values())})
-
+_READ = pa.schema([("doc_id", pa.int64()), ("tokens", pa.list_(pa.string())), ("unit", pa.string()), ("n", pa.int64())])
+_FORMS = pa.schema([("form", pa.string()), ("original", pa.string()), ("n", pa.int64()), ("swap", pa.bool_())])
 
-def _form_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = [(f, u, n, check) for u, n in zip(pdf["unit"], pdf["n"]) for f, check in forms_of(u)]
-        yield pd.DataFrame(rows, columns=["form", "original", "n", "swap"])
 
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _tokens(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: list(tokens_of(t)))
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of each text, and units with their counts: each text is read once."""
+    for batch in batches:
+        n: Counter = Counter()
+        rows = []
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            n.update(units_of(text))
+            tokens = tokens_of(text)
+            if tokens:
+                rows.append((doc, list(tokens), None, None))
+        yield record_batch([*rows, *((None, None, u, k) for u, k in n.items())], _READ)
+
+
+def _form_rows(units: list[str], n: list[int]) -> Iterator[tuple]:
+    return ((f, u.lstrip("\0"), k, check) for u, k in zip(units, n) for f, check in forms_of(u))
+
+
+class Garbled:
+    """Tokens, units and forms of a corpus, each written once."""
+
+    def __init__(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text"):
+        t = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).where(F.col("text").rlike(r"[^\x00-\x7f]"))
+        read = stored(t.mapInArrow(_read, from_arrow_schema(_READ)))
+        self.tokens = read.where("tokens is not null").select("doc_id", F.explode("tokens").alias("form"))
+        units = stored(read.where("unit is not null").groupBy("unit").agg(F.sum("n").alias("n")))
+        parts = max(1, units.count() // 4000)  # forms cost by unit, not by byte
+        forms = stored(map_rows(units.repartition(parts), _form_rows, _FORMS))
+        plain = forms.where("not swap")
+        seen = units.select(F.col("unit").alias("form"), F.col("n").alias("seen"))
+        # a form that is also a word of another language counts only where its original is far more common
+        swaps = forms.where("swap").join(seen, "form").where("seen * 4 <= n").drop("seen")
+        # what is garbled itself is no original
+        garbled = plain.select(F.col("form").alias("original")).distinct()
+        every = plain.unionByName(swaps).join(garbled, "original", "left_anti")
+        self.table = every.groupBy("form").agg(F.max_by("original", F.struct("n", "original")).alias("original"))
+
+    def hits(self) -> DataFrame:
+        """(doc_id, form, original): the garbled tokens of every document."""
+        return self.tokens.join(self.table, "form").select("doc_id", "form", "original").distinct()
 
 
 def garbled_table(docs: DataFrame, text: str = "text") -> DataFrame:
     """(form, original) of every unit of the corpus under every chain."""
-    t = docs.select(F.col(f"`{text}`").alias("text")).where(F.col("text").rlike(r"[^\x00-\x7f]"))
-    units = t.mapInPandas(_unit_rows, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
-    forms = units.mapInPandas(_form_rows, "form string, original string, n bigint, swap boolean")
-    plain = forms.where("not swap")
-    seen = units.select(F.col("unit").alias("form"), F.col("n").alias("seen"))
-    # a form that is also a word of another language counts only where its original is far more common
-    swaps = forms.where("swap").join(seen, "form").where("seen * 4 <= n").drop("seen")
-    # what is garbled itself is no original
-    garbled = plain.select(F.col("form").alias("original")).distinct()
-    plain, swaps = (x.join(garbled, "original", "left_anti").select(plain.columns) for x in (plain, swaps))
-    return plain.unionByName(swaps).groupBy("form").agg(F.max_by("original", F.struct("n", "original")).alias("original"))
+    return Garbled(docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text}`").alias("text"))).table
 
 
 def garbled_hits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, form, original): the garbled tokens of every document."""
-    t = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).where(F.col("text").rlike(r"[^\x00-\x7f]"))
-    tokens = t.select("doc_id", F.explode(_tokens("text")).alias("form"))
-    return tokens.join(garbled_table(docs, text), "form").select("doc_id", "form", "original")
+    return Garbled(docs, doc_id, text).hits()
 
 
 def _restore(text: str, forms: list[str], originals: list[str]) -> str:
-    known = {f: o for f, o in zip(forms, originals) if LOST not in f}
+    # what lost its bytes has its original where the word is known, not where a letter is guessed from its neighbours
+    known = {f: o for f, o in zip(forms, originals) if LOST not in f or len(f) > 3 and not _LOST_AT.fullmatch(f) and not _HAN_RUN.search(o)}
     # the last byte of some letters reads as a blank, which belongs to no word
     known |= {f + "\xa0": o for f, o in known.items() if not f[-1].isascii() and any(garble(o, c) == f + "\xa0" for c in CHAINS)}
     if not known:
@@ -211,7 +251,7 @@ def _restore(text: str, forms: list[str], originals: list[str]) -> str:
 
 @F.pandas_udf(T.StringType())
 def _restored(text: pd.Series, forms: pd.Series, originals: pd.Series) -> pd.Series:
-    return pd.Series([_restore(t, list(f), list(o)) for t, f, o in zip(text, forms, originals)])
+    return pd.Series([_restore(t, list(f), list(o)) for t, f, o in zip(text, forms, originals)], dtype=object)
 
 
 def repaired(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "entities").select("id", "name").distinct()
-    return e.withColumn("form", confusables.canonical_udf("name"))
+    return confusables.with_form(e, "name", "form", compose=True)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,18 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p8_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.cleaned(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confusables.lookalike_classes(table(spark, sf_dir, "entities"), "id", "name", "source_id")
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encodings.garbled_hits(table(spark, sf_dir, "documents")).select("doc_id").distinct()
 
@@ -66,11 +78,14 @@ QUERIES = {
     "p2_pieces": p2_pieces,
     "p4_found": p4_found,
     "p4_forms": p4_forms,
+    "p4_classes": p4_classes,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_paragraphs": p6_paragraphs,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
+    "p8_spans": p8_spans,
+    "p8_cleaned": p8_cleaned,
     "p9_found": p9_found,
     "p9_repaired": p9_repaired,
 }

@@ -44,3 +44,21 @@ def test_limits_and_disguise(spark):
     assert got == {(i, k) for i in (1, 3, 9, 11) for k in (1, 3)} | {(4, 2)}
     assert {(r.doc_id, r.item_id) for r in find_leaks(d, items, max_item_tokens=100).collect()} == got  # items in several blocks
     assert find_leaks(d.limit(0), items).count() == 0 and find_leaks(d, items.limit(0)).count() == 0
+
+
+def test_spans_and_cleaning(spark):
+    from lexigraft.llm.leakage import cleaned, leaked_spans, normal_tokens, placed_tokens
+
+    item = " ".join(f"word{i}" for i in range(30))
+    short = "alpha beta gamma delta epsilon zeta"
+    items = spark.createDataFrame([(1, "en", item), (2, "en", short)], "item_id long, lang string, text string")
+    inside = "WORD3, word4\\nword5  word6 word7 “word8” " + " ".join(f"ｗord{i}" for i in range(9, 20))
+    texts = [f"before {inside} after", "nothing here", None, "", "x alpha beta gamma delta epsilon y", "alpha beta gamma only", "été " + item]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.start, r.end, r.words, r.items) for r in leaked_spans(docs, items).collect()}
+    assert got[0] == (7, 7 + len(inside), 17, [1]) and got[4][2:] == (5, [2]) and set(got) == {0, 4, 6} and got[6][2] == 30
+    clean = {r.doc_id: (r.text, r.removed) for r in cleaned(docs, items).collect()}
+    assert clean[0] == ("before  after", 1) and clean[4] == ("x  y", 1) and clean[6][0] == "été "
+    for t in filter(None, texts):
+        assert [x[0] for x in placed_tokens(t)] == normal_tokens(t)
+    assert leaked_spans(docs, items.limit(0)).count() == 0 and cleaned(docs.limit(0), items).count() == 0

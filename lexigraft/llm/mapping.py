@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from lexigraft.functions.text import is_blank
 from lexigraft.llm.confusables import Skeletons
-from lexigraft.session import checkpointed
+from lexigraft.session import stored
 
 # What people write around a name, in place of one, or for its last word.
 BEFORE = ("suspected", "probable", "possible", "likely", "hx of", "history of", "h o", "query", "rule out", "r o", "s p", "known", "type", "category", "kind", "疑似", "可能", "考虑", "既往", "类型", "疑")
@@ -101,32 +101,35 @@ def _grams(c: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(p) - 1), lambda i: F.substring(p, i, F.lit(2))))
 
 
-def _prefix_size(n: Column, t: float) -> Column:
-    return n - F.ceil(F.lit(t) * n) + 1
+def similar_pairs(left: DataFrame, right: DataFrame, least: float | dict[str, float]) -> DataFrame:
+    """(kind, value, form, jaccard): pairs of distinct ``left.value`` and ``right.form`` of one kind with Jaccard of at least ``least``.
 
-
-def similar_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
-    """(value, form, jaccard): pairs of distinct ``left.value`` and ``right.form`` with Jaccard of at least ``least``.
-
-    Both sides hold distinct texts. Token order comes from counts over all texts of both sides. Only
-    the texts and their set sizes pass the join; sets are rebuilt for the candidates that are left.
+    Both sides hold distinct texts by ``kind`` (a column either has, or neither: then it is empty);
+    ``least`` may differ by kind. Token order comes from counts over all texts of both sides. Only numbers
+    pass the join, which applies the length and the positional filter itself: what two sets share is at most
+    the tokens before the shared one, it, and the tokens behind it. Its cost is rows and not bytes, so it is
+    cut by rows. Texts are joined back to the pairs that are left, and Jaccard is verified exactly.
     """
-    both = left.select(F.col("value").alias("text"), F.lit(0).alias("side")).unionByName(right.select(F.col("form").alias("text"), F.lit(1).alias("side")))
-    each = both.withColumn("g", _grams(F.col("text"))).select("text", "side", F.size("g").alias("n"), F.explode("g").alias("tok"))
+    if "kind" not in left.columns:
+        left, right, least = left.withColumn("kind", F.lit("")), right.withColumn("kind", F.lit("")), {"": least}
+    t = F.create_map(*[F.lit(x) for kv in least.items() for x in kv])[F.col("kind")]
+    both = left.select("kind", F.col("value").alias("text"), F.lit(0).alias("side")).unionByName(right.select("kind", F.col("form").alias("text"), F.lit(1).alias("side")))
+    each = both.withColumn("g", _grams(F.col("text"))).select("kind", F.xxhash64("kind", "text").alias("id"), "side", F.size("g").alias("n"), F.explode("g").alias("tok"))
+    each = each.select("id", "side", "n", t.alias("t"), F.xxhash64("kind", "tok").alias("tok"))
     rarity = each.groupBy("tok").agg(F.count("*").alias("df"))
-    ordered = each.join(rarity, "tok").groupBy("text", "side", "n").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("o"))
-    ordered = checkpointed(ordered)
-    pre = ordered.select("text", "side", "n", F.posexplode(F.slice("o", F.lit(1), _prefix_size(F.col("n"), least).cast("int"))).alias("pos", "o"))
-    a = pre.where("side = 0").select(F.col("o.tok").alias("tok"), F.col("text").alias("value"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-    b = pre.where("side = 1").select(F.col("o.tok").alias("tok"), F.col("text").alias("form"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    cand = a.join(b, "tok").where(F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb"))
-    # tokens shared so far (counted by the rows of one pair) and at most still to come
-    need = F.lit(least) / (1 + least) * (F.col("na") + F.col("nb"))
-    met = cand.groupBy("value", "form", "na", "nb").agg(F.count("*").alias("met"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    met = met.where(F.col("met") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 >= need - 1e-9)
-    shared = F.size(F.array_intersect(_grams(F.col("value")), _grams(F.col("form"))))
-    j = shared / (F.col("na") + F.col("nb") - shared)
-    return met.withColumn("jaccard", j).where(F.col("jaccard") >= least).select("value", "form", "jaccard")
+    ordered = each.join(rarity, "tok").groupBy("id", "side", "n", "t").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("o"))
+    prefix = (F.col("n") - F.ceil(F.col("t") * F.col("n")) + 1).cast("int")
+    pre = stored(ordered.select("id", "side", "n", "t", F.posexplode(F.slice("o", F.lit(1), prefix)).alias("pos", "o")).select("id", "side", "n", "t", "pos", "o.tok"))
+    parts = max(left.sparkSession.sparkContext.defaultParallelism, pre.count() // 20_000)
+    a = pre.where("side = 0").select("tok", "id", "t", F.col("n").alias("na"), F.col("pos").alias("pa")).repartition(parts, "tok")
+    b = pre.where("side = 1").select("tok", F.col("id").alias("id2"), F.col("n").alias("nb"), F.col("pos").alias("pb")).repartition(parts, "tok")
+    need = F.col("t") / (1 + F.col("t")) * (F.col("na") + F.col("nb"))
+    most = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    near = a.join(b, (a["tok"] == b["tok"]) & (F.least("na", "nb") >= F.col("t") * F.greatest("na", "nb")) & (most >= need - 1e-9)).select("id", "id2").distinct()
+    pairs = near.join(left.select(F.xxhash64("kind", "value").alias("id"), "kind", "value"), "id").join(right.select(F.xxhash64("kind", "form").alias("id2"), "form"), "id2")
+    one, two = _grams(F.col("value")), _grams(F.col("form"))
+    shared = F.size(F.array_intersect(one, two))
+    return pairs.select("kind", "value", "form", (shared / (F.size(one) + F.size(two) - shared)).alias("jaccard"), t.alias("t")).where("jaccard >= t").drop("t")
 
 
 def edits(a: str, b: str, most: int) -> int:
@@ -193,63 +196,81 @@ def _allowed(form: Column) -> Column:
 
 
 def _settled(values: DataFrame, forms: DataFrame) -> DataFrame:
-    """(value, settled): false for Han values of a consistent foreign sign.
+    """(kind, value): Han values of a consistent foreign sign.
 
     A sign that no canonical form has and that stands in one place in most of the distinct values
     holding it makes names of its own; signs put in by mistake stand anywhere.
     """
     han = values.where(F.col("value").rlike(f"^[{_HAN}]+$"))
-    signs = han.select("value", F.posexplode(F.split("value", "")).alias("at", "sign")).where("sign <> ''")
-    known = forms.select(F.explode(F.split("form", "")).alias("sign")).distinct()
-    foreign = signs.join(known, "sign", "left_anti")
+    signs = han.select("kind", "value", F.posexplode(F.split("value", "")).alias("at", "sign")).where("sign <> ''")
+    known = forms.select("kind", F.explode(F.split("form", "")).alias("sign")).distinct()
+    foreign = signs.join(known, ["kind", "sign"], "left_anti")
     # a sign put into a name is none of its own
-    foreign = foreign.withColumn("form", F.expr("replace(value, sign, '')")).join(forms.select("form"), "form", "left_anti").drop("form")
-    slots = foreign.groupBy("sign", "at").agg(F.count("*").alias("n"))
-    shape = slots.groupBy("sign").agg(F.sum("n").alias("all"), F.max(F.struct("n", "at")).alias("top"))
-    makers = shape.where((F.col("all") >= 4) & (F.col("top.n") >= 0.85 * F.col("all"))).select("sign", F.col("top.at").alias("at"))
-    return foreign.join(makers, ["sign", "at"]).select("value").distinct()
+    foreign = foreign.withColumn("form", F.expr("replace(value, sign, '')")).join(forms.select("kind", "form"), ["kind", "form"], "left_anti").drop("form")
+    foreign = stored(foreign)
+    slots = foreign.groupBy("kind", "sign", "at").agg(F.count("*").alias("n"))
+    shape = slots.groupBy("kind", "sign").agg(F.sum("n").alias("all"), F.max(F.struct("n", "at")).alias("top"))
+    makers = shape.where((F.col("all") >= 4) & (F.col("top.n") >= 0.85 * F.col("all"))).select("kind", "sign", F.col("top.at").alias("at"))
+    return foreign.join(makers, ["kind", "sign", "at"]).select("kind", "value").distinct()
 
 
-def map_values(values: DataFrame, forms: DataFrame, least: float = 0.5) -> DataFrame:
-    """(value, canon_id) of the folded values that have an entry.
+def map_values(values: DataFrame, forms: DataFrame, least: dict[str, float]) -> DataFrame:
+    """(kind, value, canon_id, route) of the folded values that have an entry.
 
-    ``values``: distinct (value, n) with counts; ``forms``: (form, canon_id), folded names and aliases.
+    ``values``: distinct (kind, value, n) with counts; ``forms``: (kind, form, canon_id), folded names and
+    aliases. ``route`` tells what found the entry: equal forms, the similarity join, or one of the further keys.
     """
-    exact = forms.groupBy("form").agg(F.min("canon_id").alias("canon_id"))
-    met = values.join(exact, values["value"] == exact["form"]).groupBy("canon_id").agg(F.sum("n").alias("met"))
+    exact = stored(forms.groupBy("kind", "form").agg(F.min("canon_id").alias("canon_id")))
+    equal = [values["kind"] == exact["kind"], values["value"] == exact["form"]]
+    named = stored(values.join(exact, equal, "left").select(values["kind"], "value", "n", "canon_id"))
+    hits = named.where("canon_id is not null")
+    met = hits.groupBy("kind", "canon_id").agg(F.sum("n").alias("met"))
     nothing = F.col("value").isin(*sorted(NOTHING))
-    hits = values.where(~nothing).join(exact, F.col("value") == F.col("form")).select("value", "canon_id")
-    rest = values.where(~nothing).join(exact, F.col("value") == F.col("form"), "left_anti").select("value")
-    rest = rest.join(_settled(rest, forms), "value", "left_anti")
-    near = similar_pairs(rest, exact.select("form"), least).select("value", "form", "jaccard")
+    rest = named.where(F.col("canon_id").isNull() & ~nothing).select("kind", "value")
+    rest = stored(rest.join(_settled(rest, exact), ["kind", "value"], "left_anti"))
+    near = similar_pairs(rest, exact.select("kind", "form"), least).withColumn("route", F.lit("similar"))
     words = lambda c: F.array_join(F.array_sort(F.split(c, " ")), " ")
-    turned = rest.withColumn("w", words("value")).join(exact.select("form", words("form").alias("w")), "w").select("value", "form", F.lit(1.0).alias("jaccard"))
     head = lambda c: F.regexp_replace(c, " [^ ]+$", "")
-    general = rest.where(F.col("value").rlike(" (" + "|".join(GENERAL) + ")$")).withColumn("w", head(F.col("value")))
-    named = general.join(exact.select("form", head(F.col("form")).alias("w")), "w").select("value", "form", F.lit(0.0).alias("jaccard"))
-    cand = checkpointed(near.unionByName(turned).unionByName(named).groupBy("value", "form").agg(F.max("jaccard").alias("jaccard")))
-    judged = cand.withColumn("d", _distances("value", "form")).where(F.col("d") <= _allowed(F.col("form")) + 0.6)
-    ranked = judged.join(exact, "form").join(met, "canon_id", "left")
-    best = ranked.groupBy("value").agg(
-        F.min_by("canon_id", F.struct(F.col("d"), -F.coalesce("met", F.lit(0)), -F.col("jaccard"), "canon_id")).alias("canon_id")
-    )
-    return checkpointed(hits.unionByName(best))
+    # two further keys of a value, in one join: its words in order, and the words before a general last one
+    general = F.col("value").rlike(" (" + "|".join(GENERAL) + ")$")
+    key = lambda route, c: F.struct(F.lit(route).alias("route"), c.alias("w"))
+    asked = rest.select("kind", "value", F.explode(F.array(key("words", words("value")), key("head", F.when(general, head(F.col("value")))))).alias("k")).select("kind", "value", "k.*")
+    given = exact.select("kind", "form", F.explode(F.array(key("words", words("form")), key("head", head(F.col("form"))))).alias("k")).select("kind", "form", "k.*")
+    further = asked.join(given, ["kind", "route", "w"]).select("kind", "value", "form", F.when(F.col("route") == "words", 1.0).otherwise(0.0).alias("jaccard"), "route")
+    cand = near.select("kind", "value", "form", "jaccard", "route").unionByName(further).groupBy("kind", "value", "form").agg(F.max("jaccard").alias("jaccard"), F.max("route").alias("route"))
+    judged = stored(cand.withColumn("d", _distances("value", "form")).where(F.col("d") <= _allowed(F.col("form")) + 0.6))
+    ranked = judged.join(exact, ["kind", "form"]).join(met, ["kind", "canon_id"], "left")
+    order = F.struct(F.col("d"), -F.coalesce("met", F.lit(0)), -F.col("jaccard"), "canon_id")
+    best = ranked.groupBy("kind", "value").agg(F.min_by(F.struct("canon_id", "route"), order).alias("b")).select("kind", "value", "b.canon_id", "b.route")
+    return stored(hits.where(~nothing).select("kind", "value", "canon_id", F.lit("equal").alias("route")).unionByName(best))
+
+
+def map_fields(fields: list[tuple]) -> DataFrame:
+    """(id, field, canon_id, route) for every row whose value is neither null, blank nor a canonical name.
+
+    ``fields``: (rows, key, column, canon, canon_id, canon_name, aka, field, least); all fields go through
+    the same joins, told apart by ``field``.
+    """
+    raws, canons, least = None, None, {}
+    both = lambda x, y: y if x is None else x.unionByName(y)
+    for rows, key, column, canon, canon_id, canon_name, aka, field, t in fields:
+        c = canon.select(F.lit(field).alias("kind"), F.col(f"`{canon_id}`").cast("bigint").alias("canon_id"), F.col(f"`{canon_name}`").alias("name"), F.col(f"`{aka}`").alias("aka"))
+        r = rows.select(F.lit(field).alias("kind"), F.col(f"`{key}`").alias("id"), F.col(f"`{column}`").alias("raw"))
+        raws, canons, least[field] = both(raws, r), both(canons, c), t
+    canons = canons.where("name is not null")
+    names = canons.select("kind", F.col("name").alias("raw")).distinct()
+    listed = canons.select("kind", "canon_id", F.explode(F.concat(F.array("name"), F.coalesce("aka", F.array().cast("array<string>")))).alias("raw")).where("raw is not null")
+    forms = listed.withColumn("form", fold("raw")).where("form <> ''").select("kind", "form", "canon_id").distinct()
+    raws = raws.where("raw is not null")
+    counted = stored(raws.distinct().groupBy("kind", "raw").agg(F.count("*").alias("n")).withColumn("value", fold("raw")))
+    mapped = map_values(counted.groupBy("kind", "value").agg(F.sum("n").alias("n")), forms, least)
+    by_raw = counted.where(~is_blank(F.col("raw"))).join(names, ["kind", "raw"], "left_anti").select("kind", "raw", "value")
+    by_raw = stored(by_raw.join(mapped, ["kind", "value"], "left").select("kind", "raw", F.coalesce("canon_id", F.lit(0)).cast("bigint").alias("canon_id"), F.coalesce("route", F.lit("none")).alias("route")))
+    return raws.join(by_raw, ["kind", "raw"]).select("id", F.col("kind").alias("field"), "canon_id", "route").distinct()
 
 
 def map_entries(
     rows: DataFrame, key: str, column: str, canon: DataFrame, canon_id: str, canon_name: str, aka: str, field: str, least: float = 0.5
 ) -> DataFrame:
-    """(id, field, canon_id) for every row whose value is neither null, blank nor a canonical name."""
-    c = canon.select(F.col(f"`{canon_id}`").cast("bigint").alias("canon_id"), F.col(f"`{canon_name}`").alias("name"), F.col(f"`{aka}`").alias("aka"))
-    c = c.where("name is not null")
-    names = c.select("name").distinct()
-    forms = c.select("canon_id", F.explode(F.concat(F.array("name"), F.coalesce("aka", F.array().cast("array<string>")))).alias("raw"))
-    forms = checkpointed(forms.where("raw is not null").withColumn("form", fold("raw")).where("form <> ''").select("form", "canon_id").distinct())
-    raw = rows.select(F.col(f"`{key}`").alias("id"), F.col(f"`{column}`").alias("raw")).where("raw is not null").distinct()
-    counted = checkpointed(raw.groupBy("raw").agg(F.count("*").alias("n")).withColumn("value", fold("raw")))
-    values = counted.groupBy("value").agg(F.sum("n").alias("n"))
-    mapped = map_values(values, forms, least)
-    by_raw = counted.where(~is_blank(F.col("raw")))
-    by_raw = by_raw.join(names, F.col("raw") == F.col("name"), "left_anti").select("raw", "value")
-    by_raw = by_raw.join(mapped, "value", "left").select("raw", F.coalesce("canon_id", F.lit(0)).cast("bigint").alias("canon_id"))
-    return raw.join(by_raw, "raw").select("id", F.lit(field).alias("field"), "canon_id").distinct()
+    """(id, field, canon_id) of one field; see ``map_fields``."""
+    return map_fields([(rows, key, column, canon, canon_id, canon_name, aka, field, least)]).select("id", "field", "canon_id")

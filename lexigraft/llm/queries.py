@@ -31,9 +31,9 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "entities")
-    names = mapping.map_entries(e, "id", "name", table(spark, sf_dir, "canonical_entities"), "canon_id", "canon_name", "aka", "name")
-    types = mapping.map_entries(e, "id", "entity_type", table(spark, sf_dir, "canonical_types"), "type_id", "type_name", "aka", "entity_type", least=0.4)
-    return names.unionByName(types)
+    names = (e, "id", "name", table(spark, sf_dir, "canonical_entities"), "canon_id", "canon_name", "aka", "name", 0.5)
+    types = (e, "id", "entity_type", table(spark, sf_dir, "canonical_types"), "type_id", "type_name", "aka", "entity_type", 0.4)
+    return mapping.map_fields([names, types]).select("id", "field", "canon_id")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

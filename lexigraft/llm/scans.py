@@ -345,7 +345,7 @@ def misread_words(words: DataFrame, vocab: DataFrame, sound: DataFrame, noise: N
         # a sign is misread as two signs at most
         v = d.where(F.length("w") <= 2 * longest).select("w").distinct().withColumn("value", fold("w"))
         p = similar_pairs(v.select("value").distinct(), forms.select("form").distinct(), 0.6)
-        return v.join(p, "value").join(forms, "form").where("w <> c").select("w", "c")
+        return v.join(p.drop("kind"), "value").join(forms, "form").where("w <> c").select("w", "c")
 
     two = _ranked(_candidates(real.join(one, "w", "left_anti").unionByName(sample), vocab, near), noise)
     return one.unionByName(two)

@@ -125,7 +125,10 @@ def similar_pairs(left: DataFrame, right: DataFrame, least: float | dict[str, fl
     b = pre.where("side = 1").select("tok", F.col("id").alias("id2"), F.col("n").alias("nb"), F.col("pos").alias("pb")).repartition(parts, "tok")
     need = F.col("t") / (1 + F.col("t")) * (F.col("na") + F.col("nb"))
     most = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    near = a.join(b, (a["tok"] == b["tok"]) & (F.least("na", "nb") >= F.col("t") * F.greatest("na", "nb")) & (most >= need - 1e-9)).select("id", "id2").distinct()
+    near = a.join(b, (a["tok"] == b["tok"]) & (F.least("na", "nb") >= F.col("t") * F.greatest("na", "nb")) & (most >= need - 1e-9))
+    # all prefix tokens a pair shares, and what may follow the last of them
+    met = near.groupBy("id", "id2", "na", "nb", "t").agg(F.count("*").alias("met"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+    near = met.where(F.col("met") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 >= need - 1e-9).select("id", "id2")
     pairs = near.join(left.select(F.xxhash64("kind", "value").alias("id"), "kind", "value"), "id").join(right.select(F.xxhash64("kind", "form").alias("id2"), "form"), "id2")
     one, two = _grams(F.col("value")), _grams(F.col("form"))
     shared = F.size(F.array_intersect(one, two))

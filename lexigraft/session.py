@@ -56,6 +56,12 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver drop what written tables were made from: its cleaner removes the shuffle files and broadcasts
+    of plans that are garbage, and only a collection tells it so. For operators of many stages."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def scratch(spark: SparkSession) -> str:
     """A new path in the shared folder that is removed when the driver ends."""
     at = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"

@@ -23,35 +23,36 @@ class BoostedTrees:
         if not len(y) or y.min() == y.max():
             return self
         grid = [np.unique(np.quantile(x[:, k], np.linspace(0.02, 0.98, self.cuts))) for k in range(x.shape[1])]
+        bins = np.column_stack([np.searchsorted(cuts, x[:, k]) for k, cuts in enumerate(grid)])  # v <= cuts[i] where bin <= i
         score = np.full(len(y), self.base)
         for _ in range(self.rounds):
             q = 1 / (1 + np.exp(-score))
-            tree = self._grow(x, y - q, q * (1 - q), grid, np.arange(len(y)), self.depth)
+            tree = self._grow(bins, y - q, q * (1 - q), grid, np.arange(len(y)), self.depth)
             self.trees.append(tree)
             score += self.rate * _walk(tree, x)
         return self
 
-    def _grow(self, x, g, h, grid, rows, depth):
-        gs, hs = g[rows].sum(), h[rows].sum()
+    def _grow(self, bins, g, h, grid, rows, depth):
+        gr, hr = g[rows], h[rows]
+        gs, hs = gr.sum(), hr.sum()
         leaf = float(gs / (hs + 1.0))
         if not depth or len(rows) < 2 * self.least:
             return leaf
         best, at = 1e-6, None
         for k, cuts in enumerate(grid):
-            v = x[rows, k]
-            for c in cuts:
-                m = v <= c
-                n = int(m.sum())
-                if n < self.least or len(rows) - n < self.least:
-                    continue
-                gl, hl = g[rows][m].sum(), h[rows][m].sum()
-                gain = gl**2 / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gs**2 / (hs + 1)
-                if gain > best:
-                    best, at = gain, (k, float(c), m)
+            b = bins[rows, k]
+            size = len(cuts) + 1
+            n, gl, hl = (np.cumsum(np.bincount(b, w, size))[:-1] for w in (None, gr, hr))
+            gain = gl**2 / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gs**2 / (hs + 1)
+            gain[(n < self.least) | (len(rows) - n < self.least)] = 0
+            i = int(gain.argmax()) if len(gain) else 0
+            if len(gain) and gain[i] > best:
+                best, at = gain[i], (k, i)
         if at is None:
             return leaf
-        k, c, m = at
-        return (k, c, self._grow(x, g, h, grid, rows[m], depth - 1), self._grow(x, g, h, grid, rows[~m], depth - 1))
+        k, i = at
+        low = bins[rows, k] <= i
+        return (k, float(grid[k][i]), self._grow(bins, g, h, grid, rows[low], depth - 1), self._grow(bins, g, h, grid, rows[~low], depth - 1))
 
     def score(self, x: np.ndarray) -> np.ndarray:
         x = np.asarray(x, float)

@@ -45,7 +45,7 @@ from lexigraft.llm.arrow import map_rows, record_batch
 from lexigraft.llm.boosting import BoostedTrees
 from lexigraft.llm.mapping import similar_pairs
 from lexigraft.llm.noise import FEATURES, Noise, bigrams, gapped_pairs, learn_edits, weigh
-from lexigraft.session import checkpointed, stored
+from lexigraft.session import checkpointed, release, stored
 
 SAMPLE_WORDS = 400
 SAMPLE_WINDOWS = 1500
@@ -604,17 +604,20 @@ class Scans:
         seen, middles = self.signs.edits()
         unknown = plain.where("a = 0 and b > 0").select("w", "n")
         self.noise = Noise(learn_edits(unknown, self.sound, self.vocab.select("w", "n")), seen)
+        release(spark)
         # a file is printed if its pages are, taken together
         placed = page.select("sid", "score", F.col("lines").isNotNull().alias("near")).distinct().join(self.tasks, "sid")
         files = placed.groupBy("path").agg(F.sum("score").alias("score")).where("score > 0").select("path")
         inside = stored(placed.where("near").select("sid", "path", "idx").distinct().join(files, "path", "left_semi"))
         near = page.where("lines is not null").select("sid", "lines")
         self.marks = stored(furniture(near, inside, self.noise, fit_running(sample, self.noise)))
+        release(spark)
         gone = self.marks.groupBy("sid", "path", "idx").agg(F.collect_set("no").alias("gone"))
         self.info = inside.join(gone, ["sid", "path", "idx"], "left")
         common = [r.tok for r in self.words.where("a > 0").orderBy(F.desc("a"), "tok").limit(COMMON).select("tok").collect()]
         body = near.join(self.info, "sid").select("sid", "path", "idx", "lines", "gone")
         self.body = stored(map_rows(body, _body_rows(spark.sparkContext.broadcast(frozenset(common)), middles), _BODY))
+        release(spark)
 
     def broken(self) -> DataFrame:
         """(sid, path, idx, no, left, right, over); ``no`` counts body lines."""
@@ -629,7 +632,9 @@ class Scans:
         # what may be part of a word only is misread where the edits are learned ones
         hits = toks.join(words, "w").where("learned or not part").select("sid", F.col("w").alias("was"), F.col("c").alias("meant"))
         wins = self.body.select("sid", F.explode("wins").alias("win")).distinct()
+        release(wins.sparkSession)
         signs = stored(misread_windows(wins.select("win").distinct(), self.signs, self.noise))
+        release(wins.sparkSession)
         han = wins.join(signs, "win").select("sid", F.col("win").alias("was"), F.concat(F.substring("win", 1, 1), "put", F.substring("win", 3, 1)).alias("meant"))
         return hits.unionByName(han).distinct()
 

@@ -40,23 +40,28 @@ SAME_MEMBER = "症状群不能包含重复的症状成员"
 ABSENT_MEMBERS = "症状群成员不在当前片段中："
 
 
+#: what may be wrong with the parts of a group, first fault first
+_GROUP_FAULTS = ((TOO_FEW, lambda parts: len(parts) == 1), (EMPTY_MEMBER, lambda parts: not all(parts)), (SAME_MEMBER, lambda parts: len({*parts}) != len(parts)))
+
+
 def evidence_error(name: str, kind: str, text: str) -> str | None:
-    """Why a name is not supported by the text, or None if it is. Checks run in the order of the messages above."""
-    body = comparable(text)
-    if kind != GROUP_TYPE:
-        bare = comparable(name)
-        return None if bare and bare in body else ABSENT
-    members = name.split("|")
-    if len(members) < 2:
-        return TOO_FEW
-    if "" in members:
-        return EMPTY_MEMBER
-    if len(set(members)) < len(members):
-        return SAME_MEMBER
-    lost = [m for m in members if comparable(m) not in body]
-    return f"{ABSENT_MEMBERS}{lost}" if lost else None
+    """Why a name is not supported by the text, or None if it is."""
+    return support_error(name, kind, comparable(text))
+
+
+def support_error(name: str, kind: str, body: str) -> str | None:
+    """``evidence_error`` against a text that is ``comparable`` already, so one text serves all its names."""
+    group = kind == GROUP_TYPE
+    parts = name.split("|") if group else [name]
+    forms = dict(zip(parts, map(comparable, parts)))
+    missing = [p for p in parts if forms[p] not in body]
+    if group:
+        absent = f"{ABSENT_MEMBERS}{missing}" if missing else None
+        return next((message for message, wrong in _GROUP_FAULTS if wrong(parts)), absent)
+    return ABSENT if missing or not forms[name] else None
 
 
 @F.pandas_udf(T.StringType())
 def evidence_error_udf(name: pd.Series, kind: pd.Series, text: pd.Series) -> pd.Series:
-    return pd.Series([evidence_error(n or "", k or "", t or "") for n, k, t in zip(name, kind, text)], dtype=object)
+    bodies = {t: comparable(t or "") for t in set(text)}  # each source once
+    return pd.Series([support_error(n or "", k or "", bodies[t]) for n, k, t in zip(name, kind, text)], dtype=object)

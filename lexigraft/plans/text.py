@@ -149,7 +149,7 @@ FROM l WHERE s <> '' GROUP BY 1, 2
 
 
 def repeat_cut(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", cleaning.clean_pages("text").alias("c")).select("doc_id", "c.text", "c.abnormal")
+    return cleaning.clean_pages(_docs(spark, sf_dir).select("doc_id", "text"), "text")
 
 
 def plain_clean(spark, sf_dir):

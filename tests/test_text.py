@@ -45,14 +45,16 @@ def test_context_window(spark):
 
 def test_cleaning(spark):
     assert cleaning.cut_repeat("head " + "xy" * 50) == ("head ", True) and cleaning.cut_repeat("head " + "xy" * 49)[1] is False
-    assert cleaning.clean_page("head " + "xy" * 50) == ("head", True) and cleaning.clean_page(None) == (None, False) and cleaning.clean_page("") == ("", False)
+    pages = spark.createDataFrame([(0, "head " + "xy" * 50), (1, None), (2, ""), (3, "z" * 300_000), (4, "a " + "." * 250 + " b"), (5, "\n 天地" * 100), (6, "foo  \nbar\n\n\n\nend ")], "id int, text string")
+    got = {r.id: (r.text, r.abnormal) for r in cleaning.clean_pages(pages, "text").collect()}
+    assert got[0] == ("head", True) and got[1] == (None, False) and got[2] == ("", False) and got[3][1] is True  # long and degenerate
+    assert got[4] == ("a  b", True) and got[5][1] is True and got[6] == ("foo bar\n\nend", False) and cleaning.clean_pages(pages.limit(0), "text").count() == 0
     assert cleaning.join_wraps("foo\nbar\n\n# h\nx\ny\n\n```\na\nb\n```\n中\n文") == "foo bar\n\n# h\nx y\n\n```\na\nb\n```\n中文"
     assert cleaning.cut_repeat_plain("a " + "天地" * 100) == "a" and cleaning.cut_repeat_plain("天地玄黄" * 2) == "天地玄黄" * 2
     t, odd = cleaning.without_leaders(F.col("t"))
     assert one(spark, "a" + "." * 12 + "b", t) == "a b" and one(spark, "." * 200, odd) is True
     low, cut = cleaning.without_low_tail(F.col("t"))
     assert one(spark, "天地" * 100, cut) is True and one(spark, "天地" * 100, low) == "" and one(spark, "天地" * 10, cut) is False
-    assert cleaning.clean_page("z" * 300_000)[1] is True  # long and degenerate
 
 
 def test_lines(spark):

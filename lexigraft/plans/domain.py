@@ -83,6 +83,25 @@ SELECT DISTINCT id, concat('SummaryInformationList.', concat_ws('.', i, j, k, n)
 FROM e WHERE s IS NOT NULL
 """
 
+_P1_SYNONYMS_SQL = """
+WITH d AS (SELECT id, i, SynonymList[i + 1] w FROM disease_alignment_en, unnest(range(len(SynonymList))) t(i)),
+e AS (SELECT id, i, j, w.Synonym[j + 1] r FROM d, unnest(range(len(w.Synonym))) t(j))
+SELECT DISTINCT id, concat('SynonymList.', i, '.', j) node, concat('SynonymList.', i) parent, r.lang lang, r.label AS label FROM e WHERE r IS NOT NULL
+"""
+
+_P1_RELATIONS_SQL = """
+WITH d AS (SELECT id, i, ExternalReferenceList[i + 1] w FROM disease_alignment_en, unnest(range(len(ExternalReferenceList))) t(i)),
+e AS (SELECT id, i, j, w.ExternalReference[j + 1] r FROM d, unnest(range(len(w.ExternalReference))) t(j)),
+f AS (SELECT id, i, j, k, r.DisorderMappingRelation[k + 1] m FROM e, unnest(range(len(r.DisorderMappingRelation))) t(k))
+SELECT DISTINCT id, concat('ExternalReferenceList.', concat_ws('.', i, j, k)) node, concat('ExternalReferenceList.', concat_ws('.', i, j)) parent, m.id id_value FROM f WHERE m IS NOT NULL
+"""
+
+_P1_SUMMARIES_SQL = """
+WITH d AS (SELECT id, i, SummaryInformationList[i + 1] w FROM disease_alignment_en, unnest(range(len(SummaryInformationList))) t(i)),
+e AS (SELECT id, i, j, w.SummaryInformation[j + 1] r FROM d, unnest(range(len(w.SummaryInformation))) t(j))
+SELECT DISTINCT id, concat('SummaryInformationList.', i, '.', j) node, concat('SummaryInformationList.', i) parent, r.id id_value, r.lang lang FROM e WHERE r IS NOT NULL
+"""
+
 _W = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}-\x{2029}\x{202f}\x{205f}\x{3000}]"
 _N = _W[1:-1]
 _Q = r'"(?:[^"\\]|\\.|"")*"|\\.'
@@ -119,4 +138,4 @@ QUERIES = {
     "p1_summaries": _p1_table("SummaryInformationList.SummaryInformation"),
     "p3_found": p3_found,
 }
-SQL = {"p1_found": _P1_SQL, "p1_references": _P1_REFERENCES_SQL, "p1_sections": _P1_SECTIONS_SQL, "p3_found": _P3_SQL}
+SQL = {"p1_found": _P1_SQL, "p1_references": _P1_REFERENCES_SQL, "p1_sections": _P1_SECTIONS_SQL, "p1_synonyms": _P1_SYNONYMS_SQL, "p1_mapping_relations": _P1_RELATIONS_SQL, "p1_summaries": _P1_SUMMARIES_SQL, "p3_found": _P3_SQL}

@@ -44,16 +44,18 @@ def lookalike_table(spark: SparkSession) -> dict[str, str]:
 
     Its prototypes also join signs of one script (l, I and 1; O and 0; rn and m): a letter is given the
     member of such a class that has its case. Only letters whose prototype is of another script are kept,
-    some hundred whatever the data; the fixed values above go first.
+    some hundred whatever the data; the fixed values above go first. A Spark without that library is an
+    error: the fixed values alone would miss pairs.
     """
     if "letters" not in _TABLE:
         letters = [chr(c) for c in range(0x80, 0x20000) if unicodedata.category(chr(c))[0] == "L" and not 0xAC00 <= c <= 0xD7A3]
         try:
             checker = spark.sparkContext._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
-        except TypeError:  # a Spark without that library: the fixed values alone
-            letters, looks = [], []
-        else:
-            looks = checker.getSkeleton("\n".join(letters)).split("\n")
+        except TypeError as e:  # no such class
+            raise RuntimeError("the ICU library (icu4j), whose table of look-alikes is needed, is not among Spark's jars") from e
+        looks = checker.getSkeleton("\n".join(letters)).split("\n")
+        if len(looks) != len(letters):
+            raise RuntimeError(f"the ICU library gave {len(looks)} look-alikes for {len(letters)} letters")
         _TABLE["letters"] = dict(filter(None, map(_other_script, letters, looks))) | LOOKALIKES
     return _TABLE["letters"]
 

@@ -1,5 +1,9 @@
 import unicodedata
+from types import SimpleNamespace
 
+import pytest
+
+from lexigraft.llm import confusables
 from lexigraft.llm.confusables import LOOKALIKES, Skeletons, canonical, lookalike_classes, lookalike_pairs, lookalike_table, skeleton
 
 SCHEMA = "id long, name string, source_id string, skeleton string"
@@ -48,6 +52,21 @@ def test_letters_of_the_library(spark):
     assert 200 < len(table) < 20_000
 
 
+def test_missing_library_is_an_error(spark, monkeypatch):
+    jvm = spark.sparkContext._jvm
+    for text in (jvm.no.such.text, _icu_text("a\nb")):
+        monkeypatch.setattr(confusables, "_TABLE", {})
+        bare = SimpleNamespace(sparkContext=SimpleNamespace(_jvm=SimpleNamespace(com=SimpleNamespace(ibm=SimpleNamespace(icu=SimpleNamespace(text=text))))))
+        with pytest.raises(RuntimeError, match="ICU library"):
+            lookalike_table(bare)
+        assert not confusables._TABLE
+
+
+def _icu_text(looks):
+    checker = SimpleNamespace(getSkeleton=lambda _: looks)
+    return SimpleNamespace(SpoofChecker=SimpleNamespace(Builder=lambda: SimpleNamespace(build=lambda: checker)))
+
+
 def test_classes(spark):
     df = spark.createDataFrame([(1, "Fever", "s"), (2, "Fеver", "s"), (3, "Fever", "s"), (4, "cough", "s"), (5, "Fеver", "t"), (6, None, "s")], "id long, name string, source_id string")
     got = {r.id: (r["class"], r.links) for r in lookalike_classes(df, "id", "name", "source_id").collect()}

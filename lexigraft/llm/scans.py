@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +59,12 @@ _ARROW = pa.schema([("kind", pa.int8()), ("sid", pa.string()), ("score", pa.floa
 _LETTER = r"A-Za-z\x{aa}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}\x{370}-\x{3ff}\x{1e00}-\x{1fff}"
 
 
+def _settle(spark: SparkSession) -> None:
+    """Let the driver drop what a stage's fits have remembered and its plans have held."""
+    bigrams.cache_clear()
+    release(spark)
+
+
 # -- reading -------------------------------------------------------------------------------------
 
 
@@ -254,6 +260,7 @@ def furniture(lines: DataFrame, tasks: DataFrame, noise: Noise, model: BoostedTr
         take = F.aggregate("a", F.lit(0), lambda n, x: F.when((x["depth"] == n) & (x["hit"] | F.coalesce("more", F.lit(False)) & (x["depth"] == F.col("open.depth"))), n + 1).otherwise(n))
         g = stored(g.withColumn("take", take).where("take > 0").select("sid", "path", "idx", "n", "take", "a"))
         deep = g.where((F.col("take") >= hi) & (F.col("n") > hi)).select("sid").distinct()
+        _settle(lines.sparkSession)
         if deep.isEmpty():
             # pages that share most of their lines share their text: no more than the outermost line is furniture
             g = g.withColumn("take", F.when((F.col("take") > ROUND) & (2 * F.col("take") > F.col("n")), 1).otherwise(F.col("take")))
@@ -335,6 +342,7 @@ def misread_words(words: DataFrame, vocab: DataFrame, sound: DataFrame, noise: N
     real = words.select("w", F.col("n").cast("bigint").alias("n"), F.lit(None).cast("string").alias("truth"))
     # one place differs
     one = _ranked(_candidates(real.unionByName(sample), vocab, lambda d: gapped_pairs(d, vocab)), noise)
+    _settle(spark)
     # more places differ: bigrams of the learned spelling
     fold = _fold_udf(noise)
     forms = vocab.select(F.col("w").alias("c"), fold("w").alias("form"))
@@ -348,6 +356,7 @@ def misread_words(words: DataFrame, vocab: DataFrame, sound: DataFrame, noise: N
         return v.join(p.drop("kind"), "value").join(forms, "form").where("w <> c").select("w", "c")
 
     two = _ranked(_candidates(real.join(one, "w", "left_anti").unionByName(sample), vocab, near), noise)
+    _settle(spark)
     return one.unionByName(two)
 
 
@@ -506,6 +515,7 @@ def broken_words(body: DataFrame, vocab: DataFrame, noise: Noise) -> DataFrame:
     feats = stored(_pair_features(every.select("left", "right", "mark").unionByName(made_df.select("left", "right", "mark")), vocab, noise))
     t = feats.join(made_df, ["left", "right", "mark"]).orderBy("left", "right", "mark", "y").toPandas()
     model = BoostedTrees().fit(t[_Q].to_numpy(float).reshape(len(t), 6), t["y"].to_numpy(float))
+    _settle(spark)
     judged = feats.withColumn("s", _score_udf(model, 6)(*_Q)).where("s > 0").select("left", "right", "mark")
     return every.join(judged, ["left", "right", "mark"]).select("sid", "path", "idx", "no", "left", "right", "over").distinct()
 
@@ -604,20 +614,20 @@ class Scans:
         seen, middles = self.signs.edits()
         unknown = plain.where("a = 0 and b > 0").select("w", "n")
         self.noise = Noise(learn_edits(unknown, self.sound, self.vocab.select("w", "n")), seen)
-        release(spark)
+        _settle(spark)
         # a file is printed if its pages are, taken together
         placed = page.select("sid", "score", F.col("lines").isNotNull().alias("near")).distinct().join(self.tasks, "sid")
         files = placed.groupBy("path").agg(F.sum("score").alias("score")).where("score > 0").select("path")
         inside = stored(placed.where("near").select("sid", "path", "idx").distinct().join(files, "path", "left_semi"))
         near = page.where("lines is not null").select("sid", "lines")
         self.marks = stored(furniture(near, inside, self.noise, fit_running(sample, self.noise)))
-        release(spark)
+        _settle(spark)
         gone = self.marks.groupBy("sid", "path", "idx").agg(F.collect_set("no").alias("gone"))
         self.info = inside.join(gone, ["sid", "path", "idx"], "left")
         common = [r.tok for r in self.words.where("a > 0").orderBy(F.desc("a"), "tok").limit(COMMON).select("tok").collect()]
         body = near.join(self.info, "sid").select("sid", "path", "idx", "lines", "gone")
         self.body = stored(map_rows(body, _body_rows(spark.sparkContext.broadcast(frozenset(common)), middles), _BODY))
-        release(spark)
+        _settle(spark)
 
     def broken(self) -> DataFrame:
         """(sid, path, idx, no, left, right, over); ``no`` counts body lines."""
@@ -632,9 +642,8 @@ class Scans:
         # what may be part of a word only is misread where the edits are learned ones
         hits = toks.join(words, "w").where("learned or not part").select("sid", F.col("w").alias("was"), F.col("c").alias("meant"))
         wins = self.body.select("sid", F.explode("wins").alias("win")).distinct()
-        release(wins.sparkSession)
         signs = stored(misread_windows(wins.select("win").distinct(), self.signs, self.noise))
-        release(wins.sparkSession)
+        _settle(wins.sparkSession)
         han = wins.join(signs, "win").select("sid", F.col("win").alias("was"), F.concat(F.substring("win", 1, 1), "put", F.substring("win", 3, 1)).alias("meant"))
         return hits.unionByName(han).distinct()
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -58,8 +62,21 @@ def stored(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let the driver drop what written tables were made from: its cleaner removes the shuffle files and broadcasts
-    of plans that are garbage, and only a collection tells it so. For operators of many stages."""
-    spark.sparkContext._jvm.System.gc()
+    of plans that are garbage, and only a collection tells it so. Both processes of the driver then hand back the
+    native memory that compilers, codecs and fits have freed, which the C library keeps for each thread apart
+    (where it or the JVM can't, nothing is handed back). For operators of many stages."""
+    gc.collect()  # plans that only Python still refers to
+    jvm = spark.sparkContext._jvm
+    jvm.System.gc()
+    call = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)
+    call[0], call[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    # by reflection: the server's own class is not exported
+    invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+    with contextlib.suppress(Py4JJavaError):  # a JVM that has no such command
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), call)
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def scratch(spark: SparkSession) -> str:

@@ -29,7 +29,12 @@ def name_form(name: str, kind: str) -> str:
 
 def comparable(text: str) -> str:
     """Compatibility-composed, without white space and format characters."""
-    return "".join(c for c in unicodedata.normalize("NFKC", text) if not c.isspace() and unicodedata.category(c) != "Cf")
+    bare = "".join(unicodedata.normalize("NFKC", text).split())
+    if not bare.isascii():  # there are no format characters in ASCII
+        for c in set(bare):
+            if unicodedata.category(c) == "Cf":
+                bare = bare.replace(c, "")
+    return bare
 
 
 # fixed values: the messages callers see

@@ -209,13 +209,15 @@ SELECT run, CAST(grp AS BIGINT) grp, tool, bool_and(ok) ok, string_agg(CAST(ord
 
 def replayed(spark, d):
     """Every source's entities as calls to the draft machine: add, validate, submit."""
-    e = entities(spark, d).where("name is not null and entity_type is not null")
-    add = e.select("source_id", F.col("id").alias("at"), F.lit("add_entity").alias("tool"), F.to_json(F.struct("name", "entity_type")).alias("arguments"))
-    ends = sources(spark, d).select("source_id").distinct().select("source_id", F.explode(F.array(*[F.struct(F.lit(2**62 + i).alias("at"), F.lit(t).alias("tool")) for i, t in enumerate(("validate_chunk", "submit_chunk"))])).alias("c"))
-    calls = add.unionByName(ends.select("source_id", "c.at", "c.tool", F.lit("{}").alias("arguments")))
-    calls = calls.withColumn("ord", F.row_number().over(Window.partitionBy("source_id").orderBy("at")))
-    texts = sources(spark, d).groupBy("source_id").agg(F.max("text").alias("text"))
-    return drafts.replay(calls.join(texts, "source_id").select("source_id", "text", "ord", "tool", "arguments"), ONTOLOGY).drop("state", "result")
+    e = table(spark, d, "entities").where("name is not null and entity_type is not null")
+    add = e.select("source_id", F.struct("id", F.to_json(F.struct("name", "entity_type")).alias("arguments")).alias("add"))
+    adds = add.groupBy("source_id").agg(F.sort_array(F.collect_set("add")).alias("adds"))  # a set: replayed rows count once
+    texts = table(spark, d, "sources").where("source_id is not null").groupBy("source_id").agg(F.max("text").alias("text"))
+    call = lambda n, tool, arguments=F.lit("{}"): F.struct(n.cast("int").alias("ord"), F.lit(tool).alias("tool"), arguments.alias("arguments"))
+    some = F.coalesce("adds", F.array().cast(adds.schema["adds"].dataType))
+    ends = F.array(*[call(F.size(some) + n, tool) for n, tool in enumerate(("validate_chunk", "submit_chunk"), 1)])
+    calls = F.concat(F.transform(some, lambda x, n: call(n + 1, "add_entity", x["arguments"])), ends)
+    return drafts.replay_chunks(texts.join(adds, "source_id", "left").select("source_id", "text", calls.alias("calls")), ONTOLOGY, trace=False)
 
 
 def extracted(spark, d):

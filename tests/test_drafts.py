@@ -1,11 +1,14 @@
 import json
+import types
+import unicodedata
 
 import pytest
 
-from lexigraft.operators import agent
-from lexigraft.operators.drafts import Draft, replay
+from lexigraft.operators import agent, evidence
+from lexigraft.operators.drafts import REPLAY_SCHEMA, Draft, replay
 from lexigraft.operators.evidence import evidence_error, name_form
 from lexigraft.operators.protocol import ACTION, THOUGHT, json_lines, parse_actions, parse_reviews, tools_for, wrong_arguments
+from lexigraft.plans import graph
 from lexigraft.sources.ontology import Ontology, cache_namespace
 
 O = Ontology.of({"entity_types": {"症状": {}, "病": {}, "症状群": {}}, "relation_types": {"has": {"allowed_pairs": [["病", "症状"]]}}})
@@ -113,3 +116,49 @@ def test_agent_steps_and_review():
     assert agent.run_chunk(Draft("s", TEXT, O), agent.Replay([]), max_steps=2)["status"] == "max_steps_exceeded"
     assert agent.run_chunk(Draft("s", TEXT, O, committed=True), agent.Replay([]))["status"] == "already_committed"
     assert agent.context_of("x" * 500 + "胸闷" + "y" * 500, "胸闷") == "x" * 160 + "胸闷" + "y" * 160 and agent.context_of("abc", "q") == ""
+
+
+def test_text_is_folded_once_a_draft(monkeypatch):
+    folded = []
+    monkeypatch.setattr(evidence, "unicodedata", types.SimpleNamespace(normalize=lambda form, t: folded.append(t) or unicodedata.normalize(form, t), category=unicodedata.category))
+    d = Draft("s", TEXT, O)
+    assert [d.add_entity(n, "症状")["ok"] for n in ("胸闷", "气短", "AB", "咳嗽")] == [True, True, True, False]
+    assert d.validate_chunk()["valid"] and d.submit_chunk()["ok"] and folded.count(TEXT) == 1
+    assert evidence.comparable("\u200bＡ\u00ad \u3000b\x1f\U000e0001c") == "Abc"
+
+
+def test_replay_without_trace(spark):
+    add = lambda n: json.dumps({"name": n, "entity_type": "症状"}, ensure_ascii=False)
+    calls = [(3, "submit_chunk", "{}"), (1, "add_entity", add("胸闷")), (2, "validate_chunk", None), (4, "no_tool", "{}")]
+    rows = [(f"c{i}", TEXT if i % 3 else None, *c) for i in range(700) for c in calls]
+    df = spark.createDataFrame(rows, "source_id string, text string, ord int, tool string, arguments string").coalesce(1)
+    full, bare = replay(df, O), replay(df, O, trace=False)
+    assert full.schema.simpleString() == spark.createDataFrame([], REPLAY_SCHEMA).schema.simpleString() and bare.columns == full.columns[:5]
+    want = {}
+    for i in range(700):
+        d = Draft(f"c{i}", TEXT if i % 3 else "", O)
+        for n, tool, args in sorted(calls):
+            r = d.call(tool, json.loads(args or "{}"))
+            want[d.source_id, n] = (tool, r["ok"], code(r), json.dumps(r, ensure_ascii=False), d.to_json())
+    assert {(r.source_id, r.ord): tuple(r[2:]) for r in full.collect()} == want
+    got = bare.collect()
+    assert len(got) == len(want) and {(r.source_id, r.ord): tuple(r[2:]) for r in got} == {k: v[:3] for k, v in want.items()}
+    assert replay(df.where("false"), O).count() == 0
+
+
+def test_draft_replay_of_odd_tables(spark, tmp_path):
+    """Late and replayed rows, sources without text, entity or id, entities without a source: each text moves once, by chunk."""
+    sources = [("a", "f", None), ("a", "g", "fever and rash"), ("a", "g", "fever and rash"), ("b", "f", None), ("c", "f", "fever"), (None, "f", "fever")]
+    entities = [(12, "rash", "symptom", "a"), (2, "fever", "disease", "a"), (2, "fever", "disease", "a"), (3, 'no "x"\n', "disease", "a"), (4, "fever", "kind", "a"), (5, "fever", "disease", "a"), (6, None, "disease", "a"), (7, "fever", None, "a"), (8, "fever", "disease", "b"), (9, "fever", "disease", "lost"), (10, "fever", "disease", None)]
+    spark.createDataFrame(sources, "source_id string, source_name string, text string").write.parquet(str(tmp_path / "sources.parquet"))
+    spark.createDataFrame(entities, "id long, name string, entity_type string, source_id string").write.parquet(str(tmp_path / "entities.parquet"))
+    df = graph.QUERIES["draft_replay"](spark, str(tmp_path))
+    short = {"add_entity": "add", "validate_chunk": "validate", "submit_chunk": "submit"}
+    got = sorted((r.source_id, r.ord, short[r.tool], r.code) for r in df.collect())
+    empty = "EMPTY_CHUNK_NOT_CONFIRMED"
+    assert got == [
+        *(("a", n, "add", c) for n, c in enumerate((None, "INVALID_EVIDENCE", "UNKNOWN_ENTITY_TYPE", None, None), 1)), ("a", 6, "validate", None), ("a", 7, "submit", None),
+        ("b", 1, "add", "INVALID_EVIDENCE"), ("b", 2, "validate", None), ("b", 3, "submit", empty), ("c", 1, "validate", None), ("c", 2, "submit", empty),
+    ]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroups" not in plan and "Window" not in plan and plan.count("Aggregate [") == 2
